@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import fixture
-from tidewell import use_utc
+from tidewell import prepare
 from tidewell.operators import bronze as raw_layer
 from tidewell.operators import drift, gold, maintenance, merge, profile, quality, ranges, replay, silver, snapshots
 from tidewell.plans.backfill import BACKFILL, run_backfill
@@ -55,7 +55,7 @@ def exposed(df: DataFrame) -> DataFrame:
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return exposed(function(use_utc(spark), sf_dir))
+        return exposed(function(prepare(spark), sf_dir))
 
     QUERIES[function.__name__] = run
     return function
@@ -165,7 +165,7 @@ def bronze_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.repartition(3, "partition", "offset").write.parquet(landing)
     stream = start_bronze(file_source(spark, landing), store, f"{store.root}/checkpoint", {"availableNow": True})
     stream.awaitTermination()
-    return store.read(BRONZE).drop("snapshot_id", "p_hour")
+    return store.read(BRONZE).drop("snapshot_id")
 
 
 @query
@@ -175,7 +175,7 @@ def incremental_snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     for snapshot_id in (1, 2):
         part = raw_layer.bronze_parse(rows.filter(F.col("snapshot_id") == snapshot_id))
         store.write_snapshot(part.withColumn("snapshot_id", F.lit(snapshot_id)), BRONZE)
-    return read_incremental(store.read(BRONZE), 1, 2).drop("snapshot_id", "p_hour")
+    return read_incremental(store.read(BRONZE), 1, 2).drop("snapshot_id")
 
 
 @query

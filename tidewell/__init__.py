@@ -1,5 +1,5 @@
 """Event-lakehouse analytics on Spark: raw, clean and aggregate layers as DataFrame jobs."""
 
-from tidewell.session import build_session, use_utc
+from tidewell.session import build_session, prepare
 
-__all__ = ["build_session", "use_utc"]
+__all__ = ["build_session", "prepare"]

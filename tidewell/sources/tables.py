@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewell.functions.events import hour_index
 from tidewell.operators.snapshots import latest_snapshot
 from tidewell.schemas import EXPIRED_TABLES, SNAPSHOTS, TABLES, USER_PROFILE
+from tidewell.session import settings
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,7 +66,9 @@ class Lake:
     def _write(self, df: DataFrame, name: str, mode: str, spread: bool = True) -> None:
         """Write whole partitions in few, evenly sized files.
 
-        REBALANCE lets AQE join small hours into one task and split a hot hour over several.
+        REBALANCE lets AQE join small hours into one task and split a hot hour
+        over several. A write's cost is also its number of files, so the tasks
+        are kept as many as there are cores even when the bytes are few.
         """
         partitions = TABLES[name].partitions
         out = self._laid_out(df, name)
@@ -74,7 +77,8 @@ class Lake:
         writer = out.write.mode(mode).partitionBy(*partitions)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(self.path(name))
+        with settings(self.spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}):
+            writer.parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> None:
         self._write(df, name, "append")
