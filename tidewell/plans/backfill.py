@@ -27,9 +27,11 @@ def run_backfill(lake: Lake, source_root: str) -> bool:
     if ranges.isEmpty():
         return False
     wanted = broadcast_if_small(partition_names(ranges))
+    sources = {}
     for dataset in BACKFILL_DATASETS:
         name = f"gold_backfill.{dataset}"
         source = read_gold_partitions(lake.spark, source_root, dataset, name)
-        lake.overwrite_partitions(source.join(wanted, ["dt", "hour"], "left_semi"), name)
+        sources[name] = source.join(wanted, ["dt", "hour"], "left_semi")
+    lake.overwrite_many(sources)
     close_ranges(lake, ranges, BACKFILL, started)
     return True

@@ -48,13 +48,12 @@ def run_gold(lake: Lake) -> bool:
     events = in_ranges(lake.read(CLEAN_EVENTS), ranges)
     windows = lake.stage(combine(windowed(event_measures(events)), "start_time", "end_time"), "windows")
     now = F.current_timestamp()
+    results = {USER_HOURS: hour_measures(windows)}
     for dataset, aggregate in WINDOW_TABLES.items():
         name = f"gold.{dataset}"
-        result = aggregate(windows)
-        if "updated_at" in TABLES[name].schema.names:
-            result = result.withColumn("updated_at", now)
-        lake.overwrite_partitions(result, name)
-    lake.overwrite_partitions(hour_measures(windows), USER_HOURS)
+        stamped = "updated_at" in TABLES[name].schema.names
+        results[name] = aggregate(windows).withColumn("updated_at", now) if stamped else aggregate(windows)
+    lake.overwrite_many(results)
     lake.replace(user_profile(profile_measures(lake)).withColumn("updated_at", now), USER_PROFILE)
     close_ranges(lake, ranges, GOLD, started)
     return True

@@ -73,8 +73,9 @@ TABLES: dict[str, Table] = {
         "created_at",
     ),
     SNAPSHOTS: Table(
-        "table_name string, snapshot_id bigint, committed_at timestamp, operation string, "
-        "source_id string, batch_id bigint"
+        "snapshot_id bigint, committed_at timestamp, operation string, "
+        "source_id string, batch_id bigint, table_name string",
+        ("table_name",),
     ),
     STATE: Table("pipeline_name string, last_snapshot_id bigint, updated_at timestamp"),
     QUALITY: Table(

@@ -1,8 +1,9 @@
 """Stored tables as partitioned parquet directories ``<root>/<namespace>/<table>``.
 
 One job writes a table at a time, as the hourly schedule does. Every commit of a
-maintained table adds a row to ``meta.snapshots``; readers of incremental or
-replaced tables go by that log, so files of a failed write are never seen.
+maintained table adds a row to ``meta.snapshots`` (a folder per table, so tables
+never share one); readers of incremental or replaced tables go by that log, so
+files of a failed write are never seen.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,6 +22,9 @@ from tidewell.operators.snapshots import latest_snapshot
 from tidewell.schemas import EXPIRED_TABLES, SNAPSHOTS, TABLES, USER_PROFILE
 from tidewell.session import settings
 
+SMALL_TASKS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}
+WRITERS = 4
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as the cluster names it; a local one only where none is set."""
@@ -77,7 +83,7 @@ class Lake:
         writer = out.write.mode(mode).partitionBy(*partitions)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-        with settings(self.spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}):
+        with settings(self.spark, SMALL_TASKS):
             writer.parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> None:
@@ -94,6 +100,16 @@ class Lake:
         self._write(df, name, "overwrite", spread)
         self._log(name, "overwrite")
 
+    def overwrite_many(self, tables: dict[str, DataFrame]) -> None:
+        """Overwrite several tables side by side: while one commits on the driver, others use the executors."""
+        with settings(self.spark, SMALL_TASKS), ThreadPoolExecutor(WRITERS) as pool:
+            jobs = [
+                pool.submit(inheritable_thread_target(self.spark)(self.overwrite_partitions), df, name)
+                for name, df in tables.items()
+            ]
+            for job in jobs:
+                job.result()
+
     def write_snapshot(self, df: DataFrame, name: str) -> None:
         """Fill the partitions of an uncommitted snapshot as the tasks hold the rows, without a shuffle."""
         self._write(df, name, "overwrite", spread=False)
@@ -123,14 +139,13 @@ class Lake:
         self, name: str, snapshot_id: int, operation: str, source_id: str | None = None, batch_id: int | None = None
     ) -> None:
         row = self.spark.range(1).select(
-            F.lit(name).alias("table_name"),
             F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
             F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"),
             F.lit(source_id).cast("string").alias("source_id"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        row.write.mode("append").parquet(self.path(SNAPSHOTS))
+        row.write.mode("append").parquet(f"{self.path(SNAPSHOTS)}/table_name={name}")
 
     def _log(self, name: str, operation: str) -> None:
         if name in self.logged:
