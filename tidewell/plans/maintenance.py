@@ -110,8 +110,7 @@ def unreferenced_files(lake: Lake, name: str, now: Column | None = None) -> Data
         raise ValueError(f"{name} keeps no versions: all its files are referenced")
     now = F.current_timestamp() if now is None else now
     listing = list_files(lake, name.replace(".", "/"))
-    log = lake.read(SNAPSHOTS).filter((F.col("table_name") == name) & (F.col("operation") != "expire"))
-    kept = log.filter(F.col("operation") != "replace").unionByName(
+    kept = lake.commits(name).filter(F.col("operation") != "replace").unionByName(
         live_snapshots(lake).filter((F.col("table_name") == name) & (F.col("operation") == "replace"))
     )
     numbered = listing.withColumn("snapshot_id", partition_value(F.col("path"), "snapshot_id").cast("bigint"))

@@ -126,13 +126,17 @@ class Lake:
         df.write.partitionBy(*partitions).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def commits(self, name: str) -> DataFrame:
+        """The table's commits in the log, which also holds marks of expiry."""
+        return self.read(SNAPSHOTS).filter((F.col("table_name") == name) & (F.col("operation") != "expire"))
+
     def current_snapshot(self, name: str) -> int | None:
         """Newest committed snapshot; one value."""
-        row = latest_snapshot(self.read(SNAPSHOTS).filter(F.col("table_name") == name)).first()
+        row = latest_snapshot(self.commits(name)).first()
         return row["snapshot_id"] if row else None
 
     def next_snapshot(self, name: str) -> int:
-        newest = self.read(SNAPSHOTS).filter(F.col("table_name") == name).agg(F.max("snapshot_id")).first()[0]
+        newest = self.commits(name).agg(F.max("snapshot_id")).first()[0]
         return 0 if newest is None else newest + 1
 
     def commit(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell.operators.bronze import bronze_parse
-from tidewell.schemas import BRONZE, SNAPSHOTS
+from tidewell.schemas import BRONZE
 from tidewell.sources.tables import Lake
 
 
@@ -28,8 +28,8 @@ class BronzeSink:
         spark = self.lake.spark
         text = spark.read.text(f"{self.checkpoint}/metadata")
         self.source_id = text.select(F.get_json_object("value", "$.id")).first()[0]
-        log = self.lake.read(SNAPSHOTS).filter(F.col("table_name") == BRONZE)
-        done = log.filter(F.col("source_id") == self.source_id).agg(F.max("batch_id")).first()[0]
+        commits = self.lake.commits(BRONZE)
+        done = commits.filter(F.col("source_id") == self.source_id).agg(F.max("batch_id")).first()[0]
         self.last_batch = -1 if done is None else done
         self.next_snapshot = self.lake.next_snapshot(BRONZE)
 
