@@ -17,7 +17,9 @@ REPAIR_RULES = (
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The given events; a table of few files is spread over the cores, a large one is read as it lies."""
+    rows, cores = spark.read.parquet(f"{sf_dir}/events.parquet"), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
 
 
 def _choice(key: Column, values: list[str]) -> Column:
@@ -29,8 +31,9 @@ def _choice(key: Column, values: list[str]) -> Column:
 
 def records(spark: SparkSession, sf_dir: str, extra: str | None = None) -> DataFrame:
     """event_id, copy_no, kafka_timestamp, raw_value; ``extra`` adds JSON text before the closing brace."""
-    event_id, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("int")
-    fields = events(spark, sf_dir).select(
+    event_id, k = F.col("event_id"), F.col("k")
+    keyed = events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    fields = keyed.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("kafka_timestamp"),
         F.concat(F.lit("u_"), F.col("user_id")).alias("user_id"),
@@ -47,7 +50,6 @@ def records(spark: SparkSession, sf_dir: str, extra: str | None = None) -> DataF
         .alias("price"),
         F.when(event_id % 17 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("event_time"),
         _choice(k % 4, ["ios", "android", "web"]).alias("device"),
-        F.explode(F.when(event_id % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy_no"),
     )
 
     def text(name: str) -> Column:
@@ -66,7 +68,9 @@ def records(spark: SparkSession, sf_dir: str, extra: str | None = None) -> DataF
     for place, (name, value) in enumerate(values):
         parts += [F.lit(("," if place else "{") + f'"{name}":'), value]
     tail = F.when(event_id % 11 == 0, F.lit(extra)).otherwise(F.lit("")) if extra else F.lit("")
-    return fields.select("event_id", "copy_no", "kafka_timestamp", F.concat(*parts, tail, F.lit("}")).alias("raw_value"))
+    copies = F.when(event_id % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    texts = fields.select("event_id", "kafka_timestamp", F.concat(*parts, tail, F.lit("}")).alias("raw_value"))
+    return texts.select("event_id", F.explode(copies).alias("copy_no"), "kafka_timestamp", "raw_value")
 
 
 def topic(spark: SparkSession, sf_dir: str, extra: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import fixture
 from tidewell import prepare
+from tidewell.functions.events import hour_index, hour_start
 from tidewell.operators import bronze as raw_layer
 from tidewell.operators import drift, gold, maintenance, merge, profile, quality, ranges, replay, silver, snapshots
 from tidewell.plans.backfill import BACKFILL, run_backfill
@@ -98,20 +99,23 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every hour with valid events, queued at the time of its last one."""
-    rows = clean(spark, sf_dir)
-    hours = ranges.affected_hours(rows, GOLD)
-    queued = rows.groupBy(F.date_trunc("hour", "event_time").alias("start_time")).agg(
-        F.max("kafka_timestamp").alias("updated_at")
+    """Every hour with valid events, queued at the time of its last one; stored, as the queue is a table."""
+    hour = hour_index("event_time").alias("hour")
+    hours = clean(spark, sf_dir).groupBy(hour).agg(F.max("kafka_timestamp").alias("updated_at"))
+    rows = hours.select(
+        F.lit(GOLD).alias("pipeline_name"),
+        hour_start("hour").alias("start_time"),
+        hour_start(F.col("hour") + 1).alias("end_time"),
+        F.lit(False).alias("processed"),
+        "updated_at",
     )
-    return hours.join(queued, "start_time").select("pipeline_name", "start_time", "end_time", "processed", "updated_at")
+    return lake(spark, "queue").stage(rows, "queue")
 
 
-def done(spark: SparkSession, sf_dir: str) -> DataFrame:
+def done(queued: DataFrame) -> DataFrame:
     """Runs that did the hours of the first half of every day, each begun 58 minutes into the hour."""
-    hours = queue(spark, sf_dir).filter(F.hour("start_time") < 12)
     began = F.col("start_time") + F.expr("INTERVAL 58 MINUTES")
-    return hours.select(
+    return queued.filter(F.hour("start_time") < 12).select(
         "pipeline_name",
         "start_time",
         "end_time",
@@ -120,6 +124,11 @@ def done(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def queue_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queued = queue(spark, sf_dir)
+    return ranges.mark_processed(queued, done(queued))
+
+
 def lake(spark: SparkSession, purpose: str) -> Lake:
     return Lake(spark, new_root(spark, purpose))
 
@@ -301,7 +310,7 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mark_partitions_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.mark_processed(queue(spark, sf_dir), done(spark, sf_dir))
+    return queue_after_runs(spark, sf_dir)
 
 
 # --- projections and filters --------------------------------------------------------------------
@@ -341,7 +350,7 @@ def time_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def replay_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After one replay of the rows that lack a time, the others are still open."""
-    rows = bad(spark, sf_dir)
+    rows = lake(spark, "candidates").stage(bad(spark, sf_dir), "bad")
     hashes = rows.filter(F.array_contains("error_reasons", "event_time_is_null")).select("event_hash")
     marked = replay.mark_replayed(rows, hashes, BATCH, now=F.col("kafka_timestamp"))
     return replay.replay_candidates(marked).select("event_hash", "is_replayed", "error_reasons")
@@ -349,8 +358,8 @@ def replay_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pending_range_semi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = ranges.mark_processed(queue(spark, sf_dir), done(spark, sf_dir))
-    return ranges.in_ranges(clean(spark, sf_dir), ranges.pending_ranges(state, GOLD))
+    pending = ranges.pending_ranges(queue_after_runs(spark, sf_dir), GOLD)
+    return ranges.in_ranges(clean(spark, sf_dir), pending)
 
 
 # --- aggregates ---------------------------------------------------------------------------------
@@ -443,7 +452,7 @@ def affected_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pending_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.pending_ranges(ranges.mark_processed(queue(spark, sf_dir), done(spark, sf_dir)), GOLD)
+    return ranges.pending_ranges(queue_after_runs(spark, sf_dir), GOLD)
 
 
 @query
