@@ -99,14 +99,15 @@ EVENTS = st.fixed_dictionaries(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(EVENTS, min_size=1, max_size=30))
 def test_counts_add_up(spark, events):
     batch = silver.silver_batch(bronze_of(spark, [record(**event) for event in events]))
     row = silver.quality_summary(batch, "p", 1).first()
     assert row.total_count == len(events)
     assert row.total_count == row.valid_count + row.bad_count + row.duplicate_removed_count
-    distinct = {tuple(None if v == "bad" else v for v in event.values()) for event in events}
+    names = ("user_id", "event_type", "price", "event_time")
+    distinct = {tuple(None if event[name] == "bad" else event[name] for name in names) for event in events}
     assert row.valid_count + row.bad_count == len(distinct)
 
 
