@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def rows_to_insert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target lacks. Keys compare by plain equality: NULL matches nothing."""
+    """Source rows whose key the target lacks. Keys compare by plain equality: NULL matches nothing.
+
+    Store a source whose key is costly to compute before merging it: the optimizer
+    may move the join below the steps that compute the key and repeat them.
+    """
     return source.join(target.select(*keys), keys, "left_anti").select(*source.columns)
 
 
