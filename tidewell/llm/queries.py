@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import simhash_dedup
+from tidewell.llm import packing, simhash_dedup, token_counts
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,18 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
