@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import packing, simhash_dedup, token_counts
+from tidewell.llm import packing, simhash_dedup, substring_dedup, token_counts
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_digest(table(spark, sf_dir, "documents", ["doc_id", "text"]))
