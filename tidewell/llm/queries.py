@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import packing, simhash_dedup, substring_dedup, token_counts
+from tidewell.llm import (
+    decontamination,
+    packing,
+    quality_classifier,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+)
 from tidewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +47,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_digest(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return quality_classifier.quality_scores(docs, table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return decontamination.leaked_passages(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
