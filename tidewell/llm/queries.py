@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.llm import (
+    chat_format,
     decontamination,
+    language_id,
     packing,
     quality_classifier,
     simhash_dedup,
@@ -59,3 +61,15 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return decontamination.leaked_passages(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    turns = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    return chat_format.read_back(chat_format.formatted(chat_format.with_forged(turns), path), path)
