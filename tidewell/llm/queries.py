@@ -13,6 +13,7 @@ from tidewell.llm import (
     language_id,
     packing,
     quality_classifier,
+    quality_rules,
     simhash_dedup,
     substring_dedup,
     token_counts,
@@ -73,3 +74,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     turns = table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     return chat_format.read_back(chat_format.formatted(chat_format.with_forged(turns), path), path)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return quality_rules.judged(docs, table(spark, sf_dir, "labels", ["doc_id", "quality"]))
+
+
+ORACLE["op4_quality_rules"] = quality_rules.ORACLE
