@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.llm import (
     chat_format,
     decontamination,
+    html_extraction,
     language_id,
     packing,
     quality_classifier,
@@ -18,7 +19,7 @@ from tidewell.llm import (
     substring_dedup,
     token_counts,
 )
-from tidewell.llm.common import table
+from tidewell.llm.common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +84,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op4_quality_rules"] = quality_rules.ORACLE
+
+
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return html_extraction.main_texts(pages, staged(html_extraction.wrappers(pages)))
