@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.llm.substring_dedup import run_hashes, word_hashes
 
@@ -191,16 +191,18 @@ def leaked_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     return out
 
 
+def _is_clean(name: str, shared) -> Column:
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = built(name, shared.value)
+        for texts in batches:
+            yield pd.Series([not index.matches(text) for text in texts], dtype=bool)
+
+    return clean("text")
+
+
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     for name, rows in blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
-
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], name=name, shared=shared) -> Iterator[pd.Series]:
-            index = built(name, shared.value)
-            for texts in batches:
-                yield pd.Series([not index.matches(text) for text in texts], dtype=bool)
-
-        docs = docs.where(clean("text"))
+        docs = docs.where(_is_clean(name, docs.sparkSession.sparkContext.broadcast(rows)))
     return docs

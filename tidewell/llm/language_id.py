@@ -199,7 +199,7 @@ def languages(docs: DataFrame) -> DataFrame:
     def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             names, scores = network.value.predict(texts.tolist())
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            yield pd.DataFrame({"lang_pred": pd.Series(names, dtype=object), "score": pd.Series(scores, dtype=float)})
 
     held_out = (fold(F.col("doc_id")) == 0).alias("held_out")
     return docs.select("doc_id", held_out, predicted("text").alias("p")).select("doc_id", "held_out", "p.*")
