@@ -25,6 +25,7 @@ import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,34 +33,68 @@ from pyspark.sql import DataFrame
 TIERS = (512, 1024, 2048, 4096)
 WAITING = 1 << 20  # ids that wait in a task before its rests are packed
 STEP = 1 << 16  # tokens of a step group
-REMEMBERED = 600_000  # words whose ids a task remembers
+REMEMBERED = 600_000  # words, and parts of words, whose ids a task remembers
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
     "offset bigint, tier int, step_group bigint"
 )
 _WORDS = re.compile(r"[^ \t-\r]+")
+# The tokenizer's split rule, written out for lower-case Latin-1 characters.
+_PARTS = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x85\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+"
+)
 
 
 class WordIds(dict):
-    """Little-endian 32-bit ids of a text, word by word."""
+    """Little-endian 32-bit ids of a text, word by word.
+
+    A word of Latin-1 characters is lower-cased and split here by the tokenizer's own rule, so that
+    its ids are looked up by parts that many words share; other words, and those that may hold
+    special strings, are encoded as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """Ids of parts: encoded as one line of words, divided where a word closes."""
+        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer does not close each part once")
+        line, at = ids.tobytes(), 0
+        for part, end in zip(parts, ends):
+            self.parts[part] = line[at:end]
+            at = end
+
+    def learn(self, words: set[str]) -> None:
+        split = {word: _PARTS.findall(word.lower()) for word in words if max(word) <= "\xff" and "<|" not in word}
+        new = {part for parts in split.values() for part in parts if part not in self.parts}
+        if new:
+            self.learn_parts(list(new))
+        for word, parts in split.items():
+            self[word] = b"".join([self.parts[part] for part in parts])
+        other = [word for word in words if word not in split]
+        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         words = _WORDS.findall(text)
-        new = list({word for word in words if word not in self})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[word] = b"".join([i.to_bytes(4, "little") for i in found.ids])
-        out = b"".join(map(self.__getitem__, words))
-        if len(self) > REMEMBERED:
-            self.clear()
-        return out
+        found = list(map(self.get, words))
+        if None in found:
+            self.learn({word for word, ids in zip(words, found) if ids is None})
+            found = [self[word] if ids is None else ids for word, ids in zip(words, found)]
+        for known in (self, self.parts):
+            if len(known) > REMEMBERED:
+                known.clear()
+        return b"".join(found)
 
 
 _loaded: dict[str, WordIds] = {}
