@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewell.session import settings
+
 _own_folder: dict[str, str] = {}
 
 
@@ -31,7 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """The rows written once as Parquet in the shared folder and read back: lineage ends there, so a lost executor costs its own tasks only."""
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(df.sparkSession, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)  # what was shuffled for it is of no more use
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -135,15 +135,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     found = staged(edges(docs, shared, window, run))
     unstage(shared)
     first = found.groupBy("h", "g").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
-    sources = first.where("source < last").select("h", "g", "source")
-    later = found.join(sources, ["h", "g"]).where("doc_id > source").select("doc_id", "text_hash", "place", "source")
+    sources = staged(first.where("source < last").select("h", "g", "source"))
+    joined = found.join(sources, ["h", "g"]).where("doc_id > source")
+    later = staged(joined.select("doc_id", "text_hash", "place", "source"))
+    unstage(found, sources)
     path = Window.partitionBy("doc_id", "text_hash", "source").orderBy("place")
     islands = later.distinct().withColumn("path", F.col("place") - F.row_number().over(path))
     spans = islands.groupBy("doc_id", "text_hash", "source", "path").agg(
         F.min("place").alias("start"), (F.max("place") + window).alias("stop")
     )
     out = staged(spans.select("doc_id", "text_hash", "start", "stop", "source"))
-    unstage(found)
+    unstage(later)
     return out
 
 
