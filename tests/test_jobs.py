@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import bronze_of, ingest, record, text_of, topic_of
 from tidewell.operators import gold, maintenance, profile, ranges, silver
+from tidewell.plans import maintenance as maintenance_jobs
 from tidewell.plans.backfill import BACKFILL, run_backfill
 from tidewell.plans.gold import queue_state, run_gold
 from tidewell.plans.maintenance import (
@@ -233,6 +234,81 @@ def test_backfill(lake):
         assert text_of(lake.read(f"gold_backfill.{dataset}"), "dt", "hour") == [("2024-01-01", "09"), ("2024-01-01", "11")]
 
 
+def test_backfill_of_long_ranges_and_absent_hours(lake):
+    rows = gold.windowed(gold.event_measures(silver.split_valid(silver.silver_batch(
+        bronze_of(lake.spark, [hour_record(9), hour_record(10), hour_record(11)])))))
+    source = f"{lake.root}/datasets"
+    by_hour = [F.date_format("window_start", "yyyy-MM-dd").alias("dt"), F.date_format("window_start", "HH").alias("hour")]
+    for dataset in BACKFILL_DATASETS:
+        gold.WINDOW_TABLES[dataset](rows).select("*", *by_hour).write.partitionBy("dt", "hour").parquet(f"{source}/{dataset}")
+    queue = lake.spark.sql("""
+        SELECT 'other' AS pipeline_name, timestamp'2024-01-01 09:00:00' AS start_time, timestamp'2024-01-01 12:00:00' AS end_time
+        UNION ALL SELECT 'other', timestamp'2024-01-01 11:00:00', timestamp'2024-01-01 14:00:00'""")
+    lake.append(queue.withColumns({"processed": F.lit(False), "updated_at": F.current_timestamp()}), QUEUE)
+    with pytest.raises(ValueError, match="hour=12"):
+        run_backfill(lake, source, "other")
+    for dataset in BACKFILL_DATASETS:
+        assert text_of(lake.read(f"gold_backfill.{dataset}"), "hour") == [("09",), ("10",), ("11",)]
+    with pytest.raises(ValueError):  # the range with absent hours is still queued
+        run_backfill(lake, source, "other")
+
+
+def test_stream_goes_on_after_bronze_compaction(lake, tmp_path):
+    """Sink, silver, compaction, silver, sink, silver: no batch is missed."""
+    topic_rows = topic_of(lake.spark, [record(user_id="x")])
+    topic, checkpoint = f"file://{tmp_path}/topic", f"file://{tmp_path}/checkpoint"
+    for batch in range(3):
+        texts = [record(user_id=f"b{batch}_{n}") for n in range(4)]
+        topic_of(lake.spark, texts).repartition(3).write.mode("append").parquet(topic)
+        stream = lake.spark.readStream.schema(topic_rows.schema).parquet(topic)
+        query = start_bronze(stream, lake, checkpoint, {"availableNow": True})
+        query.awaitTermination()
+        run_silver(lake)
+        if batch == 0:
+            assert compact(lake, BRONZE) and not run_silver(lake)
+    assert lake.read(CLEAN_EVENTS).count() == 12
+    assert lake.commits(BRONZE).select("snapshot_id").distinct().count() == lake.commits(BRONZE).count()
+    with pytest.raises(ValueError):
+        lake.append(bronze_of(lake.spark, [record()]), BRONZE)
+    lake.commit(BRONZE, 5, "append"), lake.commit(BRONZE, 5, "append")
+    with pytest.raises(ValueError):
+        run_silver(lake)
+
+
+def test_appends_during_compaction_and_replay_stay(lake, monkeypatch):
+    for snapshot_id in range(2):
+        ingest(lake, [hour_record(10, snapshot_id, user_id=f"u_{n}") for n in range(3)] + [hour_record(10, user_id=f"bad_{snapshot_id}", price=-1)], snapshot_id)
+        run_silver(lake)
+    add_rules(lake)
+    ingest(lake, [hour_record(10, 30, user_id=f"late_{n}") for n in range(3)] + [hour_record(10, 31, user_id="late_bad", price=-1)], 2)
+    stage, runs = type(lake).stage, []
+
+    def with_silver(self, df, purpose, *partitions):
+        out = stage(self, df, purpose, *partitions)
+        if purpose in ("compaction", "replay") and len(runs) < 1:
+            runs.append(purpose)
+            run_silver(self)
+        return out
+
+    monkeypatch.setattr(type(lake), "stage", with_silver)
+    assert compact(lake, CLEAN_EVENTS)
+    assert runs == ["compaction"] and lake.read(CLEAN_EVENTS).count() == 9
+    runs.clear()
+    ingest(lake, [hour_record(10, 40, user_id="later_bad", price=-1)], 3)
+    run_replay(lake, "b")
+    assert runs == ["replay"] and lake.read(BAD_EVENTS).count() == 4
+    assert text_of(lake.read(BAD_EVENTS).filter("not is_replayed"), "user_id") == [("later_bad",)]
+
+
+def test_compaction_jobs_report(lake):
+    for snapshot_id in range(2):
+        ingest(lake, [hour_record(10, snapshot_id, user_id=f"u_{n}") for n in range(3)], snapshot_id)
+        run_silver(lake)
+    rows = {row.table_name: row for row in maintenance_jobs.compact_raw_and_clean(lake).collect()}
+    assert rows[CLEAN_EVENTS].files_after == 1 < rows[CLEAN_EVENTS].files_before
+    assert rows[CLEAN_EVENTS].bytes_after > 0 and len(rows) == 2
+
+
 def test_compaction(lake):
     for snapshot_id in range(3):
         texts = [hour_record(hour, snapshot_id, user_id=f"u_{n}") for hour in (10, 11) for n in range(20)]

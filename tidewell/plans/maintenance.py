@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,7 +17,7 @@ from tidewell.operators.maintenance import (
     partition_value,
 )
 from tidewell.operators.ranges import broadcast_if_small
-from tidewell.schemas import EXPIRED_TABLES, SNAPSHOTS, TABLES, USER_PROFILE
+from tidewell.schemas import BRONZE, COMPACTED_GOLD, COMPACTED_RAW_AND_CLEAN, EXPIRED_TABLES, SNAPSHOTS, TABLES, USER_PROFILE
 from tidewell.sources.tables import Lake
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint"
@@ -27,36 +27,90 @@ def table_files(lake: Lake, name: str) -> DataFrame:
     return file_stats(lake.read(name))
 
 
+def listed_files(lake: Lake, name: str) -> DataFrame:
+    """Path and size of a table's files, from the listing; of bronze, those of committed snapshots."""
+    files = list_files(lake, name.replace(".", "/")).select(
+        F.col("path").alias("file_path"), F.col("size").alias("file_size_in_bytes")
+    )
+    if name != BRONZE:
+        return files
+    snapshot = partition_value(F.col("file_path"), "snapshot_id").cast("bigint")
+    committed = lake.commits(BRONZE).select("snapshot_id").distinct()
+    return files.withColumn("snapshot_id", snapshot).join(committed, "snapshot_id", "left_semi").drop("snapshot_id")
+
+
 def compact(lake: Lake, name: str, target_bytes: int = TARGET_FILE_BYTES) -> bool:
     """Merge the small files of the partitions that have more files than their bytes need.
 
-    Each such partition is dealt to its target number of files by a hash of the
-    row (repeatable, so a retried task writes the same rows), all partitions in
-    one job. Rows do not change; a second run finds nothing to do.
+    The plan and the rows come from one listing: exactly the listed files are read, merged beside the
+    table, and then exchanged for the merged ones, directory by directory. Files that enter meanwhile are neither
+    read nor removed. No snapshot is logged, as rows do not change; a second run finds nothing to do.
+    Each partition is dealt to its number of files by a hash of the row, so a retried task writes the same rows.
     """
     keys = TABLES[name].partitions
-    table = lake.read(name)
-    plan = compaction_plan(table_files(lake, name), target_bytes).filter("rewrite")
-    directory = F.concat("directory", F.lit("/"))
-    types = table.schema
-    todo = lake.stage(
-        plan.select(
-            *[partition_value(directory, key).cast(types[key].dataType).alias(f"d_{key}") for key in keys],
-            "target_file_count",
-        ),
-        "compaction",
-    )
-    files = todo.agg(F.sum("target_file_count")).first()[0]
-    if files is None:
+    directory = F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("directory")
+    listing = lake.stage(listed_files(lake, name).select("file_path", "file_size_in_bytes", directory), "listing")
+    plan = compaction_plan(listing, target_bytes).filter("rewrite").select("directory", "target_file_count")
+    todo = lake.stage(plan.join(listing, "directory").select("directory", "file_path", "target_file_count"), "compaction")
+    old = [row.file_path for row in todo.select("file_path").toLocalIterator()]  # paths, not rows
+    if not old:
         return False
-    same: Column = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"d_{key}")) for key in keys])
-    rows = table.join(broadcast_if_small(todo), same, "inner")
-    share = F.pmod(F.xxhash64(*table.columns), F.col("target_file_count")).alias("share")
-    staged = lake.stage(rows.select(*table.columns, share), "compacted")
-    lake.overwrite_partitions(staged.repartition(files, *keys, "share").drop("share"), name, spread=False)
+    files = todo.select("directory", "target_file_count").distinct().agg(F.sum("target_file_count")).first()[0]
+    counts = todo.select(F.col("file_path").alias("read_path"), "target_file_count")
+    read = lake.spark.read.schema(TABLES[name].full_schema).option("basePath", lake.path(name)).parquet(*old)
+    paths = read.withColumn("read_path", F.col("_metadata.file_path"))
+    rows = paths.join(broadcast_if_small(counts), "read_path").drop("read_path")
+    share = F.pmod(F.xxhash64(*read.columns), F.col("target_file_count")).alias("share")
+    dealt = rows.select(*read.columns, share).repartition(files, *keys, "share").drop("share")
+    merged = f"{lake.root}/staging/merged-{uuid.uuid4().hex}"
+    dealt.write.partitionBy(*keys).parquet(merged)
+    _exchange(lake, name, old, merged)
     return True
 
 
+def _exchange(lake: Lake, name: str, old: list[str], merged: str) -> None:
+    """Remove the files that were read and move the merged ones to their places, directory by directory."""
+    jvm, configuration = lake.spark._jvm, lake.spark._jsc.hadoopConfiguration()
+    target, source = jvm.org.apache.hadoop.fs.Path(lake.path(name)), jvm.org.apache.hadoop.fs.Path(merged)
+    store = target.getFileSystem(configuration)
+    former: dict[str, list[str]] = {}
+    for path in old:
+        former.setdefault(path.rpartition("/")[0].rpartition(name.replace(".", "/"))[2], []).append(path)
+    new: dict[str, list[str]] = {}
+    found = store.listFiles(source, True)
+    while found.hasNext():
+        path = found.next().getPath().toString()
+        if path.endswith(".parquet"):
+            new.setdefault(path.rpartition("/")[0].rpartition(merged.rpartition("/")[2])[2], []).append(path)
+    for place, paths in former.items():
+        for path in paths:
+            store.delete(jvm.org.apache.hadoop.fs.Path(path), False)
+        for path in new.get(place, []):
+            store.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{lake.path(name)}{place}/{path.rpartition('/')[2]}"))
+    store.delete(source, True)
+
+
+def compact_all(lake: Lake, names: tuple[str, ...]) -> DataFrame:
+    """Compact several tables; files and bytes of each before and after."""
+    totals = [F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size_in_bytes"), F.lit(0)).alias("bytes")]
+    figures = []
+    for name in names:
+        before = listed_files(lake, name).agg(*totals).first()
+        compact(lake, name)
+        after = listed_files(lake, name).agg(*totals).first()
+        figures.append((name, *before, *after))
+    schema = "table_name string, files_before bigint, bytes_before bigint, files_after bigint, bytes_after bigint"
+    return lake.spark.createDataFrame(figures, schema)
+
+
+def compact_raw_and_clean(lake: Lake) -> DataFrame:
+    return compact_all(lake, COMPACTED_RAW_AND_CLEAN)
+
+
+def compact_gold(lake: Lake) -> DataFrame:
+    return compact_all(lake, COMPACTED_GOLD)
+
+
 def compaction_report(lake: Lake, name: str) -> tuple[DataFrame, DataFrame]:
     """Totals and the largest files of a table."""
     files = table_files(lake, name)

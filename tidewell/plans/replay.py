@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewell.operators.ranges import affected_hours, in_hours
-from tidewell.operators.replay import mark_replayed, repair_events, replay_candidates, replay_summary, replayed_rows
+from tidewell.operators.ranges import affected_hours
+from tidewell.operators.replay import repair_events, replay_candidates, replay_summary, replayed_rows
 from tidewell.operators.silver import SILVER_COLUMNS, dedup_events
 from tidewell.plans.clean_insert import insert_clean
+from tidewell.plans.gold import run_start
 from tidewell.plans.silver import GOLD
-from tidewell.schemas import BAD_EVENTS, QUEUE, REPLAYS, RULES
+from tidewell.schemas import BAD_EVENTS, QUEUE, REPLAY_MARKS, REPLAYS, RULES
 from tidewell.sources.tables import Lake
 
 
@@ -19,8 +20,9 @@ def run_replay(lake: Lake, batch_id: str, strict: bool = False) -> bool:
     The repaired candidates are staged, so all later steps see the same rows even
     while new ones are quarantined. With ``strict`` rows that still break a rule
     stay in quarantine and count as skipped; by default they go back as they are.
+    Replayed rows are marked by appending, so rows quarantined meanwhile are never rewritten.
     """
-    now = F.current_timestamp()
+    now, started = F.current_timestamp(), run_start(lake)
     candidates = replay_candidates(lake.read(BAD_EVENTS))
     repaired = lake.stage(repair_events(candidates, lake.read(RULES)), "replay")
     if repaired.isEmpty():
@@ -28,14 +30,9 @@ def run_replay(lake: Lake, batch_id: str, strict: bool = False) -> bool:
     rows = replayed_rows(repaired, strict)
     insert_clean(lake, dedup_events(rows.select(*SILVER_COLUMNS)), rows)
     lake.append(affected_hours(rows, GOLD).withColumn("updated_at", now), QUEUE)
-    _mark(lake, rows.select(F.col("original_event_hash").alias("event_hash")).distinct(), batch_id)
+    marks = rows.select(F.col("original_event_hash").alias("event_hash")).distinct()
+    values = {"read_until": F.timestamp_micros(F.lit(started)), "replayed_at": now, "replay_batch_id": F.lit(batch_id)}
+    lake.append(marks.withColumns(values), REPLAY_MARKS)
     lake.append(replay_summary(repaired, batch_id, strict).withColumn("created_at", now), REPLAYS)
     return True
 
-
-def _mark(lake: Lake, hashes, batch_id: str) -> None:
-    """Flag the replayed rows, rewriting only the partitions that hold one."""
-    bad = lake.read(BAD_EVENTS)
-    touched = lake.stage(bad.join(hashes, "event_hash", "left_semi").select("p_hour").distinct(), "touched")
-    marked = mark_replayed(in_hours(bad, touched), hashes, batch_id)
-    lake.overwrite_partitions(lake.stage(marked, "marked"), BAD_EVENTS)

@@ -27,6 +27,9 @@ def run_silver(lake: Lake) -> bool:
     last = state["last_snapshot_id"] if state else None
     if last == current:
         return False
+    twice = read_incremental(lake.commits(BRONZE), last, current).groupBy("snapshot_id").count().filter("count > 1")
+    if not twice.isEmpty():
+        raise ValueError("two bronze commits share a snapshot id; a batch of one of them would be missed")
     bronze = read_incremental(lake.read(BRONZE), last, current)
     if not bronze.isEmpty():
         _record_drift(lake, bronze)

@@ -50,6 +50,7 @@ USER_HOURS = "gold.user_hour_counts"
 SNAPSHOTS = "meta.snapshots"
 QUEUE = "meta.pipeline_partitions"
 QUEUE_DONE = "meta.pipeline_partitions_done"
+REPLAY_MARKS = "meta.replay_marks"
 STATE = "meta.pipeline_state"
 QUALITY = "meta.pipeline_quality_summary"
 METRICS = "meta.data_quality_metrics"
@@ -96,6 +97,9 @@ TABLES: dict[str, Table] = {
     QUEUE_DONE: Table(
         "pipeline_name string, start_time timestamp, end_time timestamp, run_start timestamp, done_at timestamp"
     ),
+    REPLAY_MARKS: Table(
+        "event_hash string, read_until timestamp, replayed_at timestamp, replay_batch_id string"
+    ),
     RULES: Table("error_reason string, action_value string, enabled boolean, auto_replay boolean"),
     REPLAYS: Table(
         "replay_batch_id string, source_error_reason string, candidate_count bigint, "

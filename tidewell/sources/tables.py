@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.functions.events import hour_index
 from tidewell.operators.snapshots import latest_snapshot
-from tidewell.schemas import EXPIRED_TABLES, SNAPSHOTS, TABLES, USER_PROFILE
+from tidewell.schemas import BAD_EVENTS, BRONZE, EXPIRED_TABLES, REPLAY_MARKS, SNAPSHOTS, TABLES, USER_PROFILE
 from tidewell.session import settings
 
 SMALL_TASKS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}
@@ -29,6 +29,8 @@ WRITERS = 4
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as the cluster names it; a local one only where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return configured or os.path.join(tempfile.gettempdir(), "tidewell")
 
 
@@ -60,6 +62,8 @@ class Lake:
             return self.spark.createDataFrame([], schema)
         if name == USER_PROFILE:
             table = table.filter(F.col("snapshot_id") == self.current_snapshot(name)).drop("snapshot_id")
+        if name == BAD_EVENTS:
+            table = with_replay_marks(table, self.read(REPLAY_MARKS))
         return table
 
     def _laid_out(self, df: DataFrame, name: str) -> DataFrame:
@@ -87,6 +91,7 @@ class Lake:
             writer.parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> None:
+        self._not_bronze(name)
         self._write(df, name, "append")
         self._log(name, "append")
 
@@ -97,9 +102,16 @@ class Lake:
         """
         if not TABLES[name].partitions:
             raise ValueError(f"{name} has no partitions, use replace()")
+        self._not_bronze(name)
         self._write(df, name, "overwrite", spread)
         self._log(name, "overwrite")
 
+    @staticmethod
+    def _not_bronze(name: str) -> None:
+        """Bronze snapshot ids belong to the streaming sink: a second source of ids would hide a batch from its readers."""
+        if name == BRONZE:
+            raise ValueError("only the streaming sink commits to bronze")
+
     def overwrite_many(self, tables: dict[str, DataFrame]) -> None:
         """Overwrite several tables side by side: while one commits on the driver, others use the executors."""
         with settings(self.spark, SMALL_TASKS), ThreadPoolExecutor(WRITERS) as pool:
@@ -165,6 +177,20 @@ def read_incremental(bronze: DataFrame, last: int | None, current: int) -> DataF
     return rows if last is None else rows.filter(F.col("snapshot_id") > last)
 
 
+def with_replay_marks(bad: DataFrame, marks: DataFrame) -> DataFrame:
+    """Quarantine rows with the flags of the last replay that read them; rows quarantined after its reading stay open."""
+    newest = F.max(F.struct("replayed_at", "read_until", "replay_batch_id")).alias("mark")
+    last = marks.groupBy(F.col("event_hash").alias("marked_hash")).agg(newest)
+    joined = bad.join(last, F.col("event_hash") == F.col("marked_hash"), "left")
+    replayed = F.coalesce(F.col("quarantine_at") <= F.col("mark.read_until"), F.lit(False))
+    flags = {
+        "is_replayed": F.col("is_replayed") | replayed,
+        "replayed_at": F.when(replayed, F.col("mark.replayed_at")).otherwise(F.col("replayed_at")),
+        "replay_batch_id": F.when(replayed, F.col("mark.replay_batch_id")).otherwise(F.col("replay_batch_id")),
+    }
+    return joined.withColumns(flags).select(*bad.columns)
+
+
 def state_row(spark: SparkSession, pipeline: str, snapshot_id: int) -> DataFrame:
     """The record that says how far a pipeline has read."""
     return spark.range(1).select(
