@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from tidewell import build_session  # noqa: E402
+
+# Nulls, empty and blank texts, a long text, ties, repeated rows, odd characters.
+TEXTS = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "a b"), (6, "word " * 3000), (7, "word " * 3000),
+    (8, "Ünïcode ▁ ▁▁x  y　z \U0001f600 </s><s><|endoftext|>"), (9, "tab\tx\r\ny;\r {\r \x00 \x85 \xa0 it's 12.5"),
+    (10, "a b c d e f g h i j k l m n o p q r s t"), (11, "x a b c d e f g h i j k l m n o p q r s t y"),
+    (11, "x a b c d e f g h i j k l m n o p q r s t y"), (None, "a b c d e f g h i j k l m n o p q r s t"), (None, None),
+    (12, "A B c d e f g h i j k l m n o p q r s t"), (13, "the ### *** $$$ " * 30),
+]
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """The edge cases, with columns that clash with names the operators use."""
+    rows = [(doc_id, text, "en", 0, 1, "k") for doc_id, text in TEXTS]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, fp int, n bigint, key string")
+
+
+@pytest.fixture(scope="session")
+def empty(docs):
+    return docs.limit(0)
