@@ -162,6 +162,10 @@ def test_decontamination(spark, docs, empty):
     found = {(row.doc_id, row.item_id): (row.start, row.stop, row.similarity) for row in leaks.collect()}
     assert set(found) == {(1, 1), (2, 1), (3, 1), (4, None), (None, 1)}
     assert found[1, 1] == (2, 32, 1.0) and 0.8 <= found[3, 1][2] < 1
+    spanish = "años después, el niño compró ñoquis y piñones en la estación del león"
+    shouted = spark.createDataFrame([(1, f"x {spanish.upper()} y")], "doc_id bigint, text string")
+    folded = decontamination.leaked_passages(shouted, spark.createDataFrame([(9, spanish)], "item_id bigint, text string"))
+    assert [(row.start, row.stop, row.similarity) for row in folded.collect()] == [(1, 14, 1.0)]
     assert decontamination.leaked_passages(empty, items).count() == 0
     assert decontamination.leaked_passages(docs, items.limit(0)).count() == 0
     clean = decontamination.without_leaks(docs, items)

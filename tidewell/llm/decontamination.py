@@ -8,7 +8,7 @@ most RADIUS / 6 bits, and each item is filed under all such values of each block
 Jaccard similarity of the shingles themselves decides.
 
 Documents are read once per block of items and never shuffled; a block of the benchmark is what is
-broadcast, and holds a bounded number of items (BLOCK). Words are compared lower-cased (A-Z).
+broadcast, and holds a bounded number of items (BLOCK). Words are compared case-folded, in every script.
 Null or empty texts and items match nothing. An item shorter than a shingle is one shingle. A document
 shorter than an item is one window. Repeated documents each match; repeated items too; a null id stays null.
 """
@@ -37,7 +37,7 @@ SCHEMA = "doc_id bigint, item_id bigint, start bigint, stop bigint, similarity d
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return (text or "").casefold().encode("utf-8", "surrogatepass").split()
 
 
 def shingles(words: list[bytes], size: int) -> Counter:
