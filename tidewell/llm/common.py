@@ -4,12 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewell.session import settings
 
+T = TypeVar("T")
 _own_folder: dict[str, str] = {}
+_kept: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], T]) -> T:
+    """What ``make`` gives, made once per Python worker. A worker keeps one thing only, so stages that follow each other do not add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Drop what the worker keeps of another operator."""
+    _kept.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:

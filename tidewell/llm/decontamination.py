@@ -24,6 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewell.llm.common import kept
 from tidewell.llm.substring_dedup import run_hashes, word_hashes
 
 SHINGLE = 5
@@ -148,9 +149,6 @@ class Items:
                     best[item] = (value, start, start + size)
 
 
-_built: dict[str, Items] = {}
-
-
 def blocks(items: DataFrame) -> Iterator[tuple[str, list[tuple]]]:
     """The benchmark's items, some thousand at a time, each with a name for the block."""
     number = max(1, -(-items.count() // BLOCK))
@@ -162,10 +160,7 @@ def blocks(items: DataFrame) -> Iterator[tuple[str, list[tuple]]]:
 
 def built(name: str, rows: list[tuple]) -> Items:
     """The index of a block, made once per Python worker."""
-    if name not in _built:
-        _built.clear()
-        _built[name] = Items(rows)
-    return _built[name]
+    return kept(("decontamination", name), lambda: Items(rows))
 
 
 def leaked_passages(docs: DataFrame, items: DataFrame) -> DataFrame:

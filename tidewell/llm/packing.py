@@ -30,10 +30,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tidewell.llm.common import kept
+
 TIERS = (512, 1024, 2048, 4096)
 WAITING = 1 << 20  # ids that wait in a task before its rests are packed
 STEP = 1 << 16  # tokens of a step group
-REMEMBERED = 600_000  # words, and parts of words, whose ids a task remembers
+REMEMBERED = 300_000  # words, and parts of words, whose ids a task remembers
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
     "offset bigint, tier int, step_group bigint"
@@ -97,13 +99,8 @@ class WordIds(dict):
         return b"".join(found)
 
 
-_loaded: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    if path not in _loaded:
-        _loaded[path] = WordIds(path)
-    return _loaded[path]
+    return kept(("packing", path), lambda: WordIds(path))
 
 
 class Packer:

@@ -22,13 +22,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.common import fold, staged
+from tidewell.llm.common import fold, release, staged
 
 FITTED = 400_000  # labelled rows that a fit uses, about
 FEATURES = 256
 RIDGE = 1e-4
 GRID = 1024
 THRESHOLD = 0.3
+ROWS = 1024  # scored at a time
 TASKS = 16  # partial normal equations, half a MB each
 STATISTICS = 17
 _SYMBOLS = np.zeros(256, bool)
@@ -124,6 +125,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         for texts in batches:
             yield pd.Series([statistics(text) for text in texts], dtype=object)
 
@@ -211,5 +213,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
     rows = staged(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics"))
-    marked = scored(with_statistics(docs), fit(rows, labels))
-    return marked.where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels))  # fixed size
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:  # statistics and score in one worker per task
+        release()
+        for texts in batches:
+            found = np.array([statistics(text) for text in texts]).reshape(-1, STATISTICS)
+            parts = [shared.value.scores(found[at : at + ROWS]) for at in range(0, len(found), ROWS)]
+            yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.where(score("text") >= THRESHOLD)

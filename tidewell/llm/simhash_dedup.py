@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.common import components, staged
+from tidewell.llm.common import components, release, staged
 
 SEED = 42
 SHINGLE = 3
@@ -107,6 +107,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         for texts in batches:
             yield pd.Series([simhash(text, shingle) for text in texts], dtype="int64")
 

@@ -31,7 +31,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewell.llm.common import staged, unstage
+from tidewell.llm.common import release, staged, unstage
 
 WINDOW = 13
 RUN = 6
@@ -80,6 +80,7 @@ def shared_minimizers(docs: DataFrame, window: int, run: int) -> DataFrame:
     """(doc_id, shared): the minimizers of each document that another document has too."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

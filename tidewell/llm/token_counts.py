@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.common import staged
+from tidewell.llm.common import kept, staged
 
 FREQUENT = 1 << 17  # pre-tokens that are broadcast: about 3 MB
 COUNTED = 1 << 18  # distinct pre-tokens a task adds up before it hands them on
@@ -51,13 +51,8 @@ class Pieces:
         return [len(ids) for ids in self.model.encode(words, num_threads=1)]
 
 
-_loaded: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
+    return kept(("token_counts", path), lambda: Pieces(path))
 
 
 def vocabulary(docs: DataFrame, model: str) -> DataFrame:
