@@ -2,8 +2,8 @@
 
 Filters of several widths run over fixed-length windows of the UTF-8 bytes, each is pooled by its
 maximum, and a softmax over the pooled values gives the window's language. The network is trained in
-numpy on windows of a bounded number of labelled texts per language (SAMPLE, the least by hash of the id), outside the
-held-out fold. A text's languages are the means over all its windows, short last one included.
+numpy on windows of a bounded number of labelled texts per language (about SAMPLE, by hash of the id), outside the
+held-out fold; only those windows reach the driver. A text's languages are the means over all its windows, short last one included.
 
 A trained filter is a sum of one table row per byte of its width, so tasks add rows of byte and byte-pair tables
 instead of multiplying embeddings.
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewell.llm.common import fold
 
@@ -27,7 +27,7 @@ LENGTH = 256  # bytes of a window
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 EMBEDDING = 8
-SAMPLE = 400  # texts per language
+SAMPLE = 400  # texts per language, expected
 PER_TEXT = 4  # windows of a text that are learned from
 LANGUAGES = 64  # languages that are learned, the most frequent
 EPOCHS = 12
@@ -111,15 +111,17 @@ def softmax(values: np.ndarray) -> np.ndarray:
     return values / values.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], langs: list[str]) -> Network:
-    """A network fitted by Adam to windows of the texts; the draws are fixed."""
+def learned_windows(text: str) -> np.ndarray:
+    """At most PER_TEXT windows of a text, spread evenly over it."""
+    found = windows(text.encode("utf-8", "surrogatepass"))
+    return found[np.linspace(0, len(found) - 1, min(PER_TEXT, len(found))).astype(int)]
+
+
+def train(inputs: list[np.ndarray], langs: list[str]) -> Network:
+    """A network fitted by Adam to the windows of each text; the draws are fixed."""
     languages = sorted(set(langs))
     draw = np.random.default_rng(11)
-    inputs, targets = [], []
-    for text, lang in zip(texts, langs):
-        found = windows(text.encode("utf-8", "surrogatepass"))
-        inputs.append(found[np.linspace(0, len(found) - 1, min(PER_TEXT, len(found))).astype(int)])
-        targets.append(np.full(len(inputs[-1]), languages.index(lang)))
+    targets = [np.full(len(found), languages.index(lang)) for found, lang in zip(inputs, langs)]
     count = FILTERS * len(WIDTHS)
     network = Network(
         languages,
@@ -179,16 +181,20 @@ def gradients(network: Network, x: np.ndarray, y: np.ndarray, share: np.ndarray)
 
 
 def learned(docs: DataFrame) -> Network:
-    """A network from (doc_id, text, lang). Only ids and labels are ranked; texts are read for the chosen ids."""
+    """A network from (doc_id, text, lang). A language's texts are those whose id hashes below its share of SAMPLE, so nothing is ranked."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
-    names = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    ranked = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    known = F.broadcast(names)  # LANGUAGES rows at most
-    chosen = rows.select("doc_id", "lang").join(known, "lang").withColumn("rank", F.row_number().over(ranked))
-    ids = [row.doc_id for row in chosen.where(F.col("rank") <= SAMPLE).select("doc_id").collect()]
-    taken = rows.where(F.col("doc_id").isin(ids)).where("text rlike '\\\\p{L}'").select("doc_id", "text", "lang").limit(2 * len(ids) + 1)
-    found = sorted(taken.collect(), key=lambda row: (row.doc_id, row.lang, row.text))
-    return train([row.text for row in found], [row.lang for row in found])
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    names = counts.orderBy(F.desc("ids"), "lang").limit(LANGUAGES)
+    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    known = rows.join(F.broadcast(names), "lang").where(unit * F.col("ids") < SAMPLE)  # LANGUAGES rows at most
+    texts = known.where("text rlike '\\\\p{L}'").groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+
+    @F.udf("array<binary>", useArrow=True)
+    def spread(text: str) -> list[bytes]:
+        return [window.tobytes() for window in learned_windows(text)]
+
+    found = sorted(tuple(row) for row in texts.select("lang", "doc_id", spread("text").alias("windows")).collect())
+    return train([np.frombuffer(b"".join(parts), np.uint8).reshape(-1, LENGTH) for _, _, parts in found], [lang for lang, _, _ in found])
 
 
 def languages(docs: DataFrame) -> DataFrame:
