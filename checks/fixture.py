@@ -106,3 +106,13 @@ def snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(
         tables, F.col("day").cast("bigint").alias("snapshot_id"), F.col("at").cast("timestamp").alias("committed_at")
     )
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's data files by day, as if the events had been written in from one to thirteen files a day."""
+    day = F.dayofyear("ts")
+    path = F.concat(F.lit("clean/day="), day.cast("string"), F.lit("/part-"), (F.col("event_id") % (day % 13 + 1)).cast("string"))
+    width = F.octet_length("event_type") + F.octet_length("props")
+    return events(spark, sf_dir).groupBy(path.alias("file_path")).agg(
+        F.count(F.lit(1)).alias("record_count"), F.sum(width).alias("file_size_in_bytes")
+    )

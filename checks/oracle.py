@@ -260,6 +260,11 @@ def gold_refresh() -> str:
     )
 
 
+LISTING = """files AS (
+  SELECT concat('clean/day=', dayofyear(ts), '/part-', event_id % (dayofyear(ts) % 13 + 1)) AS file_path,
+    count(*) AS record_count, CAST(sum(strlen(event_type) + strlen(props)) AS BIGINT) AS file_size_in_bytes
+  FROM events GROUP BY 1)"""
+
 ORACLE: dict[str, str] = {
     "bronze_parse": sql(f"{BRONZE_SELECT} FROM raw"),
     "bronze_ingest_stream": sql(f"{BRONZE_SELECT} FROM raw"),
@@ -363,6 +368,15 @@ ORACLE: dict[str, str] = {
   FROM ({metrics('', 1)}) WHERE bad_rate > 0.05 OR duplicate_rate > 0.10"""
     ),
     "compacted_rows_equal": sql(MERGED, *TWO),
+    "file_stats_summary": f"""WITH {LISTING}
+SELECT count(*) AS file_count, CAST(sum(record_count) AS BIGINT) AS total_records,
+  CAST(sum(file_size_in_bytes) AS BIGINT) AS total_bytes FROM files""",
+    "largest_files": f"WITH {LISTING} SELECT * FROM files ORDER BY file_size_in_bytes DESC, file_path LIMIT 20",
+    "compaction_plan": f"""WITH {LISTING},
+sizes AS (
+  SELECT split_part(file_path, '/part', 1) AS directory, count(*) AS file_count,
+    CAST(sum(file_size_in_bytes) AS BIGINT) AS total_bytes FROM files GROUP BY 1)
+SELECT *, (total_bytes + 2047) // 2048 AS target_file_count, file_count > (total_bytes + 2047) // 2048 AS rewrite FROM sizes""",
     "expired_snapshots": f"WITH {LOG} SELECT * FROM expired",
     "orphan_files": f"""WITH {LOG},
 listing AS (

@@ -13,7 +13,7 @@ from tidewell.operators import bronze as raw_layer
 from tidewell.operators import drift, gold, maintenance, merge, profile, quality, ranges, replay, silver, snapshots
 from tidewell.plans.backfill import BACKFILL, run_backfill
 from tidewell.plans.gold import queue_state, run_gold
-from tidewell.plans.maintenance import compact, table_files
+from tidewell.plans.maintenance import compact
 from tidewell.plans.quality import run_quality
 from tidewell.plans.replay import run_replay
 from tidewell.plans.silver import GOLD, SILVER, run_silver
@@ -207,14 +207,12 @@ def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def file_stats_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = loaded(spark, sf_dir, "files")
-    return maintenance.file_stats_summary(table_files(store, CLEAN_EVENTS))
+    return maintenance.file_stats_summary(fixture.file_listing(spark, sf_dir))
 
 
 @query
 def largest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = loaded(spark, sf_dir, "files")
-    return maintenance.largest_files(table_files(store, CLEAN_EVENTS))
+    return maintenance.largest_files(fixture.file_listing(spark, sf_dir))
 
 
 @query
@@ -567,10 +565,8 @@ def quality_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = twice_loaded(spark, sf_dir, "compaction")
-    files = maintenance.compaction_plan(table_files(store, CLEAN_EVENTS))
-    hour = maintenance.partition_value(F.concat("directory", F.lit("/")), "p_hour").cast("bigint")
-    return files.select(hour.alias("p_hour"), "file_count", "target_file_count", "rewrite")
+    """Days of few events fit in fewer files than they have, others do not."""
+    return maintenance.compaction_plan(fixture.file_listing(spark, sf_dir), target_bytes=2048)
 
 
 @query

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 from conftest import SF, bronze_of, ingest, record
 from tidewell.operators import gold, profile, ranges, silver
 from tidewell.plans.silver import GOLD, run_silver
@@ -88,6 +90,6 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_dir(spark) == configured if configured else "tidewell" in shared_dir(spark)
 
 
-def test_only_file_layout_reports_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {"file_stats_summary", "largest_files", "compaction_plan"}
+def test_every_event_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
     assert set(oracle_sql()) <= set(queries())

@@ -16,9 +16,9 @@ REASONS = {"event_time_is_null": 59, "price_is_null": 19, "price_is_negative": 6
 
 # Whole jobs over hundreds of event hours take long on a local disk; test_jobs.py covers them on few.
 JOBS = {
-    "file_stats_summary", "largest_files", "gold_partition_backfill", "mark_replayed", "overwrite_partitions",
+    "gold_partition_backfill", "mark_replayed", "overwrite_partitions",
     "schema_change_requests", "incremental_run_summary", "replay_clean", "replay_summary", "gold_refresh",
-    "late_data_recompute", "quality_alerts", "compaction_plan", "compacted_rows_equal",
+    "late_data_recompute", "quality_alerts", "compacted_rows_equal",
 }
 CHOSEN = [name for name in queries() if name not in JOBS or os.environ.get("ALL_QUERIES")]
 
