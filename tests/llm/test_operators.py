@@ -19,6 +19,7 @@ from tidewell.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    shingle_dedup,
     simhash_dedup,
     substring_dedup,
     token_counts,
@@ -114,6 +115,51 @@ def test_simhash_groups(docs, empty):
     assert sorted(ids) == sorted({group for _, _, group in expected if group is not None})
 
 
+def shingle_sets(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[at : at + 5]) for at in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_kept(texts):
+    """(doc_id, text) rows that stay: the smallest id of each group linked by five-word Jaccard of 0.8."""
+    rows = [(i, t, shingle_sets(t)) for i, t in texts]
+    root = list(range(len(rows)))
+    for (x, (i, _, a)), (y, (j, _, b)) in combinations(enumerate(rows), 2):
+        if i is not None and j is not None and (a == b or len(a & b) >= 0.8 * len(a | b)):
+            old, new = max(root[x], root[y]), min(root[x], root[y])
+            root = [new if at == old else at for at in root]
+    kept = {}
+    for place, (i, t, _) in enumerate(rows):
+        if i is not None and (root[place] not in kept or i < kept[root[place]][0]):
+            kept[root[place]] = (i, t)
+    return [*kept.values(), *[(i, t) for i, t, _ in rows if i is None]]
+
+
+def test_near_dedup_links_edited_copies(spark, docs, empty, monkeypatch):
+    import corpus_pipeline
+
+    draw = np.random.default_rng(3)
+    texts = []
+    for group in range(40):
+        words = [f"v{n}" for n in draw.integers(0, 500, draw.integers(40, 200))]
+        for _ in range(draw.integers(1, 9)):  # each an edit of the one before, so groups are chains too
+            texts.append((int(draw.permutation(10_000)[0]) + 20_000 * group + len(texts), " ".join(words)))
+            words = list(words)
+            for at in draw.integers(0, len(words), max(1, len(words) // 60)):
+                words[at] = f"e{draw.integers(0, 10**6)}"
+    texts += [(7, "one id with this text of some words"), (7, "one id with a quite different text here")]
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string")
+    wide = rows.selectExpr("doc_id", "text", "'en' lang", "'s' source", "length(text) n_chars")
+    expected = sorted(similar_kept(texts), key=repr)
+    assert len(expected) < len(texts) - 40
+    assert rows_of(corpus_pipeline.near_dedup(spark, wide, "").select("doc_id", "text")) == expected
+    monkeypatch.setattr(shingle_dedup, "SAMPLED", 1)  # many shingles are common
+    assert rows_of(shingle_dedup.keep_one(rows)) == expected
+    kept = shingle_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and rows_of(kept.select("doc_id", "text")) == sorted(similar_kept(dict.fromkeys(TEXTS)), key=repr)
+    assert shingle_dedup.keep_one(empty).count() == 0
+
+
 def test_golay_keys_meet_within_two_bits():
     draw = np.random.default_rng(5)
     prints = draw.integers(-(2**63), 2**63 - 1, 200)
