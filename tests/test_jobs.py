@@ -326,6 +326,22 @@ def test_compaction(lake):
     assert plan.filter("rewrite").isEmpty() and plan.filter("target_file_count > 1").count() == 3
 
 
+@pytest.mark.parametrize("folder", ["a b", "p%c"])
+def test_compaction_below_odd_paths(spark, tmp_path, monkeypatch, folder):
+    lake = Lake(spark, f"file://{tmp_path}/{folder}/lake")
+    for snapshot in (1, 2, 3):
+        ingest(lake, [record(user_id=f"u_{snapshot}_{n}") for n in range(3)], snapshot)
+        run_silver(lake)
+    before, files = text_of(lake.read(CLEAN_EVENTS)), table_files(lake, CLEAN_EVENTS).count()
+    with monkeypatch.context() as broken:  # rows that find no file: nothing may go
+        broken.setattr(maintenance_jobs, "broadcast_if_small", lambda counts: counts.where("false"))
+        with pytest.raises(RuntimeError):
+            compact(lake, CLEAN_EVENTS)
+    assert text_of(lake.read(CLEAN_EVENTS)) == before and len(before) == 9
+    assert compact(lake, CLEAN_EVENTS) and table_files(lake, CLEAN_EVENTS).count() < files
+    assert text_of(lake.read(CLEAN_EVENTS)) == before
+
+
 def test_compaction_of_bronze_and_of_partitions_without_a_time(lake):
     add_rules(lake)
     ingest(lake, [record(event_time=None), record()], 0)

@@ -28,9 +28,9 @@ def table_files(lake: Lake, name: str) -> DataFrame:
 
 
 def listed_files(lake: Lake, name: str) -> DataFrame:
-    """Path and size of a table's files, from the listing; of bronze, those of committed snapshots."""
-    files = list_files(lake, name.replace(".", "/")).select(
-        F.col("path").alias("file_path"), F.col("size").alias("file_size_in_bytes")
+    """Path, URI and size of a table's files, from the listing; of bronze, those of committed snapshots."""
+    files = parquet_files(lake, name.replace(".", "/")).select(
+        F.col("path").alias("file_path"), F.col("_metadata.file_path").alias("uri"), F.col("length").alias("file_size_in_bytes")
     )
     if name != BRONZE:
         return files
@@ -44,19 +44,20 @@ def compact(lake: Lake, name: str, target_bytes: int = TARGET_FILE_BYTES) -> boo
 
     The plan and the rows come from one listing: exactly the listed files are read, merged beside the
     table, and then exchanged for the merged ones, directory by directory. Files that enter meanwhile are neither
-    read nor removed. No snapshot is logged, as rows do not change; a second run finds nothing to do.
+    read nor removed. Rows know their file by its URI, which differs from the path where the path has a blank or a percent
+    sign. Unless as many rows were merged as the files hold, nothing is exchanged. No snapshot is logged, as rows do not change; a second run finds nothing to do.
     Each partition is dealt to its number of files by a hash of the row, so a retried task writes the same rows.
     """
     keys = TABLES[name].partitions
     directory = F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("directory")
-    listing = lake.stage(listed_files(lake, name).select("file_path", "file_size_in_bytes", directory), "listing")
+    listing = lake.stage(listed_files(lake, name).select("file_path", "uri", "file_size_in_bytes", directory), "listing")
     plan = compaction_plan(listing, target_bytes).filter("rewrite").select("directory", "target_file_count")
-    todo = lake.stage(plan.join(listing, "directory").select("directory", "file_path", "target_file_count"), "compaction")
+    todo = lake.stage(plan.join(listing, "directory").select("directory", "file_path", "uri", "target_file_count"), "compaction")
     old = [row.file_path for row in todo.select("file_path").toLocalIterator()]  # paths, not rows
     if not old:
         return False
     files = todo.select("directory", "target_file_count").distinct().agg(F.sum("target_file_count")).first()[0]
-    counts = todo.select(F.col("file_path").alias("read_path"), "target_file_count")
+    counts = todo.select(F.col("uri").alias("read_path"), "target_file_count")
     read = lake.spark.read.schema(TABLES[name].full_schema).option("basePath", lake.path(name)).parquet(*old)
     paths = read.withColumn("read_path", F.col("_metadata.file_path"))
     rows = paths.join(broadcast_if_small(counts), "read_path").drop("read_path")
@@ -64,12 +65,18 @@ def compact(lake: Lake, name: str, target_bytes: int = TARGET_FILE_BYTES) -> boo
     dealt = rows.select(*read.columns, share).repartition(files, *keys, "share").drop("share")
     merged = f"{lake.root}/staging/merged-{uuid.uuid4().hex}"
     dealt.write.partitionBy(*keys).parquet(merged)
+    held, written = read.count(), lake.spark.read.schema(TABLES[name].full_schema).parquet(merged).count()
+    if held != written:
+        raise RuntimeError(f"compaction of {name} merged {written} of {held} rows; no file was exchanged")
     _exchange(lake, name, old, merged)
     return True
 
 
 def _exchange(lake: Lake, name: str, old: list[str], merged: str) -> None:
-    """Remove the files that were read and move the merged ones to their places, directory by directory."""
+    """Move the merged files to their places and then remove the files that were read, directory by directory.
+
+    A driver that dies between leaves a directory's rows twice, never lost.
+    """
     jvm, configuration = lake.spark._jvm, lake.spark._jsc.hadoopConfiguration()
     target, source = jvm.org.apache.hadoop.fs.Path(lake.path(name)), jvm.org.apache.hadoop.fs.Path(merged)
     store = target.getFileSystem(configuration)
@@ -82,11 +89,15 @@ def _exchange(lake: Lake, name: str, old: list[str], merged: str) -> None:
         path = found.next().getPath().toString()
         if path.endswith(".parquet"):
             new.setdefault(path.rpartition("/")[0].rpartition(merged.rpartition("/")[2])[2], []).append(path)
+    if set(new) != set(former):
+        raise RuntimeError(f"merged files of {name} are not of the directories that were read")
     for place, paths in former.items():
+        for path in new[place]:
+            to = f"{lake.path(name)}{place}/{path.rpartition('/')[2]}"
+            if not store.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)):
+                raise RuntimeError(f"{path} could not be moved to {to}; the files it replaces stay")
         for path in paths:
             store.delete(jvm.org.apache.hadoop.fs.Path(path), False)
-        for path in new.get(place, []):
-            store.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{lake.path(name)}{place}/{path.rpartition('/')[2]}"))
     store.delete(source, True)
 
 
@@ -144,14 +155,18 @@ def live_snapshots(lake: Lake) -> DataFrame:
     return log.filter(F.col("operation") != "expire").join(marks, ["table_name", "snapshot_id"], "left_anti")
 
 
-def list_files(lake: Lake, relative: str) -> DataFrame:
-    """Every parquet file below a folder, from the listing alone."""
-    listed = (
+def parquet_files(lake: Lake, relative: str) -> DataFrame:
+    return (
         lake.spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .load(f"{lake.root}/{relative}")
     )
+
+
+def list_files(lake: Lake, relative: str) -> DataFrame:
+    """Every parquet file below a folder, from the listing alone."""
+    listed = parquet_files(lake, relative)
     return listed.select("path", F.col("modificationTime").alias("modified_at"), F.col("length").alias("size"))
 
 
