@@ -289,6 +289,15 @@ def test_html_extraction(spark):
     assert html_extraction.wrappers(pages.limit(0)).count() == 0
 
 
+def test_html_of_mixed_hosts_and_marked_bodies(spark):
+    rows = [(1, "http://a.org/1", "<body><p>Out<article><p>New</article>"), (2, "http://a.org/2", "<body><div><p>Old</div><footer>F</footer>"),
+            (3, "http://b.org/1", "<body class='no-sidebar comments-open'><p>Body</p><div class='sidebar'><p>S</div>"),
+            (4, "http://b.org/2", "<body class='has-sidebar'><article class='related'><p>Art</p></article><p>Out")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = rows_of(html_extraction.main_texts(pages, html_extraction.wrappers(pages)).select("page_id", "text"))
+    assert found == [(1, "New"), (2, "Old"), (3, "Body"), (4, "Art")]
+
+
 def test_expressions_align():
     one = html_extraction.structure(html_extraction.read("<article><p>a<p>b</article>"))
     two = html_extraction.structure(html_extraction.read("<article><h1>t</h1><p>a</article>"))
