@@ -12,10 +12,13 @@ from tidewell.llm import (
     decontamination,
     html_extraction,
     language_id,
+    merkle_manifest,
     packing,
     quality_classifier,
     quality_rules,
+    scaled_sketch,
     simhash_dedup,
+    spelling_variants,
     substring_dedup,
     token_counts,
 )
@@ -90,3 +93,25 @@ ORACLE["op4_quality_rules"] = quality_rules.ORACLE
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", ["page_id", "url", "html"])
     return html_extraction.main_texts(pages, staged(html_extraction.wrappers(pages)))
+
+
+@query
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaled_sketch.edited(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return spelling_variants.variant_groups(spelling_variants.misspelt_words(docs))
+
+
+ORACLE["op12_spelling_variants"] = spelling_variants.ORACLE
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents", list(merkle_manifest.FIELDS)))
+
+
+ORACLE["op13_merkle_manifest"] = merkle_manifest.ORACLE
