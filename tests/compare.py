@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import glob
 import math
+import os
 import sys
 import time
 
 import duckdb
 
-TABLES = ("events",)
-
 
 def oracle_rows(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
-    for name in TABLES:
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     found = con.execute(sql)
     return [column[0] for column in found.description], found.fetchall()
@@ -53,8 +54,6 @@ def compare(spark, name: str, sf_dir: str) -> str | None:
 
 
 if __name__ == "__main__":
-    import os
-
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from __spark_entry__ import queries
     from tidewell import build_session

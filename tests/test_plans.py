@@ -31,7 +31,7 @@ def stored(lake):
 
 
 def test_silver_reads_two_columns_of_the_new_snapshots(stored):
-    text = plan(silver.silver_batch(read_incremental(stored.read(BRONZE), 0, 1)))
+    text = plan(silver.distinct_contents(silver.silver_project(read_incremental(stored.read(BRONZE), 0, 1))))
     assert "ReadSchema: struct<kafka_timestamp:timestamp,raw_value:string>" in text
     assert re.search(r"PartitionFilters: \[.*snapshot_id#\d+L <= 1\), \(snapshot_id#\d+L > 0\)", text)
     assert text.count("from_json(") == 1 and text.count("Exchange") == 1

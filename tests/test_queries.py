@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 from __spark_entry__ import entry, queries
+from checks.queries import QUERIES
 from compare import compare
 from conftest import SF
 
@@ -14,16 +13,8 @@ from conftest import SF
 GOLDEN = (1200, 693, 307, 200)
 REASONS = {"event_time_is_null": 59, "price_is_null": 19, "price_is_negative": 65, "invalid_event_type": 201}
 
-# Whole jobs over hundreds of event hours take long on a local disk; test_jobs.py covers them on few.
-JOBS = {
-    "gold_partition_backfill", "mark_replayed", "overwrite_partitions",
-    "schema_change_requests", "incremental_run_summary", "replay_clean", "replay_summary", "gold_refresh",
-    "late_data_recompute", "quality_alerts", "compacted_rows_equal",
-}
-CHOSEN = [name for name in queries() if name not in JOBS or os.environ.get("ALL_QUERIES")]
-
 
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, name):
     assert compare(spark, name, SF) is None
 

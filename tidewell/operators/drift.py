@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.events import PAYLOAD_FIELDS
 
 
+def record_keys(text: str = "raw_value") -> Column:
+    """The distinct top-level keys of a JSON record, sorted; NULL for what is no JSON object."""
+    return F.array_sort(F.array_distinct(F.json_object_keys(text)))
+
+
 def observed_keys(bronze: DataFrame) -> DataFrame:
     """Distinct top-level JSON keys. Nearly all records share a key set, so sets are reduced before keys."""
-    keys = bronze.select(F.map_keys(F.from_json("raw_value", "map<string,string>")).alias("keys")).distinct()
+    keys = bronze.select(record_keys().alias("keys")).distinct()
     return keys.select(F.explode("keys").alias("column_name")).distinct()
 
 
+def key_metrics(text: str = "raw_value") -> list[Column]:
+    """Metrics for ``DataFrame.observe``: how many records have exactly the expected keys, and the other key sets, each once.
+
+    They ride along with the job that writes the batch, so no pass of their own reads the records.
+    """
+    keys, expected = record_keys(text), F.array(*[F.lit(name) for name in sorted(PAYLOAD_FIELDS)])
+    return [
+        F.count_if(keys == expected).alias("as_expected"),
+        F.collect_set(F.when(keys != expected, keys)).alias("other_sets"),
+    ]
+
+
+def keys_of_metrics(metrics: dict) -> list[str]:
+    """The distinct keys that :func:`key_metrics` saw."""
+    seen = set(PAYLOAD_FIELDS) if metrics["as_expected"] else set()
+    return sorted(seen.union(*metrics["other_sets"]))
+
+
 def schema_drift(keys: DataFrame, pipeline: str) -> DataFrame:
     """One row of sorted key lists when a key outside the expected ones appeared, else none."""
     expected = F.array(*[F.lit(name) for name in PAYLOAD_FIELDS])

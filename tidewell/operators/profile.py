@@ -16,6 +16,7 @@ TOTALS = (
     ("total_add_to_cart", "add_to_cart"),
     ("total_purchase", "purchase"),
 )
+ADDED = (*[name for name, _ in TOTALS], "total_revenue", "n")
 
 
 def _totals() -> list[Column]:
@@ -59,25 +60,50 @@ def favorite_device(measures: DataFrame) -> DataFrame:
     return counts.groupBy("user_id").agg(_most_frequent("device", "count").alias("favorite_device"))
 
 
+def user_totals(measures: DataFrame) -> DataFrame:
+    """Totals per user, category and device (a missing device as ``unknown``): the finest level of the profile."""
+    device = or_unknown("device").alias("device")
+    return measures.groupBy("user_id", "category", device).agg(*_totals(), F.sum("n").alias("n"))
+
+
+def summed_totals(totals: DataFrame, *keys: str) -> DataFrame:
+    """Totals added up per user, category and device, and per further ``keys``."""
+    return totals.groupBy(*keys, "user_id", "category", "device").agg(
+        *[F.sum(name).alias(name) for name in ADDED], F.max("last_active_time").alias("last_active_time")
+    )
+
+
+def total_changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Per hour, what has to be added to the totals of ``before`` to get those of ``now``; nothing where they are equal.
+
+    Both are added up in one grouping, the former with their signs turned. The last activity needs no difference, as
+    stored events are never taken away.
+    """
+    turned = {name: -F.col(name) for name in ADDED}
+    both = now.unionByName(before.withColumns({**turned, "last_active_time": F.lit(None).cast("timestamp")}))
+    changes = summed_totals(both, "p_hour")
+    return changes.filter(" OR ".join(f"{name} <> 0" for name in ADDED))
+
+
 def user_profile(measures: DataFrame) -> DataFrame:
-    """Totals and both favourites of every user from one read of the measures.
+    """Totals and both favourites of every user from one read of the measures."""
+    return profile_of_totals(user_totals(measures))
 
-    The measures are first added up per user, category and device, then regrouped
-    to the three levels by grouping sets, then folded to one row per user: no
-    join, and no step gathers the rows of one user. Users without an id get no
-    favourites, as an equality join on the id would give them none.
+
+def profile_of_totals(totals: DataFrame) -> DataFrame:
+    """One row per user from totals per user, category and device.
+
+    They are regrouped to three levels by grouping sets, then folded to one row per user: no join, and no step
+    gathers the rows of one user. Users without an id get no favourites, as an equality join on the id would give
+    them none. Totals that were taken back to nothing count for nothing.
     """
-    device = or_unknown("device").alias("device")
-    fine = measures.groupBy("user_id", "category", device).agg(*_totals(), F.sum("n").alias("n"))
-    levels = fine.groupingSets(
+    levels = totals.filter("n > 0").groupingSets(
         [["user_id"], ["user_id", "category"], ["user_id", "device"]], "user_id", "category", "device"
     ).agg(
         # bits from the left: user_id, category, device; a set bit is a column left out
         F.grouping_id().alias("left_out"),
-        *[F.sum(name).alias(name) for name, _ in TOTALS],
-        F.sum("total_revenue").alias("total_revenue"),
+        *[F.sum(name).alias(name) for name in ADDED],
         F.max("last_active_time").alias("last_active_time"),
-        F.sum("n").alias("n"),
     )
     by_user, by_category, by_device = (F.col("left_out") == bits for bits in (0b011, 0b001, 0b010))
 

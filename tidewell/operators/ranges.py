@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewell.functions.events import hour_index, hour_start
 
 # One row is a bigint and two timestamps, so this many stay below about 16 MB.
 BROADCAST_ROWS = 200_000
+ISLANDS = 64  # intervals in a static condition
+CELLS = 4096  # stretches of hours that the driver sees the ends of
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,19 +63,55 @@ def time_range(events: DataFrame, start: Column, end: Column) -> DataFrame:
     return rows
 
 
+def hours_of(ranges: DataFrame) -> DataFrame:
+    """The hours (``p_hour``) that each half-open range touches, beside its bounds."""
+    last_hour = hour_index(F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND"))
+    return ranges.filter(F.col("start_time") < F.col("end_time")).select(
+        F.explode(F.sequence(hour_index("start_time"), last_hour)).alias("p_hour"), "start_time", "end_time"
+    )
+
+
+def islands(hours: DataFrame, most: int = ISLANDS) -> list[tuple[int, int]]:
+    """At most ``most`` intervals that hold all hours, those with the widest gaps between them.
+
+    The span is cut into ``CELLS`` equal cells; a cell gives its first and last hour, so the driver sees that many rows
+    at most, however many hours there are. Cells without a gap between them join, then the narrowest gaps close.
+    """
+    hour = F.col("p_hour")
+    hours = hours.filter(hour.isNotNull())
+    low, high = hours.agg(F.min(hour), F.max(hour)).first()
+    if low is None:
+        return []
+    width = (high - low) // CELLS + 1
+    cells = hours.groupBy(F.expr(f"(p_hour - {low}) div {width}").alias("cell")).agg(F.min(hour).alias("low"), F.max(hour).alias("high"))
+    found = sorted((row.low, row.high) for row in cells.collect())
+    gaps = sorted(((after[0] - before[1], place) for place, (before, after) in enumerate(zip(found, found[1:]))), reverse=True)
+    cuts = sorted(place for gap, place in gaps[: most - 1] if gap > 1)
+    firsts, lasts = [0, *[place + 1 for place in cuts]], [*cuts, len(found) - 1]
+    return [(found[first][0], found[last][1]) for first, last in zip(firsts, lasts)]
+
+
+def within(bounds: list[tuple[int, int]]) -> Column:
+    """The hour lies in one of the intervals: a condition on the partition column alone, so it prunes when the plan is made."""
+    if not bounds:
+        return F.lit(False)
+    hour = F.col("p_hour")
+    whole = hour.between(bounds[0][0], bounds[-1][1])
+    return whole if len(bounds) == 1 else whole & reduce(or_, [hour.between(low, high) for low, high in bounds])
+
+
 def in_ranges(events: DataFrame, ranges: DataFrame) -> DataFrame:
     """Events in any of the half-open ranges, all ranges in one pass.
 
-    Ranges are cut into the hours they touch, so the join has an equality on the
-    hour partition (pruned at run time when the ranges are broadcast) and keeps
-    the exact bounds as a further condition.
+    Ranges are cut into the hours they touch, so the join has an equality on the hour and keeps the exact bounds as a
+    further condition. Stored events are first bounded by few intervals of hours, which prune directories however many
+    ranges there are; where the ranges are few they are also broadcast and prune at run time.
     """
-    last_hour = hour_index(F.col("end_time") - F.expr("INTERVAL 1 MICROSECOND"))
-    hours = ranges.filter(F.col("start_time") < F.col("end_time")).select(
-        F.explode(F.sequence(hour_index("start_time"), last_hour)).alias("r_hour"), "start_time", "end_time"
-    )
-    stored = "p_hour" in events.columns
-    rows = events if stored else events.withColumn("p_hour", hour_index("event_time"))
+    hours = hours_of(ranges).withColumnRenamed("p_hour", "r_hour")
+    if "p_hour" in events.columns:
+        rows = events.filter(within(islands(hours.select(F.col("r_hour").alias("p_hour")))))
+    else:
+        rows = events.withColumn("p_hour", hour_index("event_time"))
     test = (
         (F.col("p_hour") == F.col("r_hour"))
         & (F.col("event_time") >= F.col("start_time"))
@@ -82,14 +123,13 @@ def in_ranges(events: DataFrame, ranges: DataFrame) -> DataFrame:
 def in_hours(table: DataFrame, hours: DataFrame) -> DataFrame:
     """Rows of a ``p_hour``-partitioned table in the given hours (a ``p_hour`` column, NULL included).
 
-    The bounds prune directories when the plan is made, the broadcast when it runs.
+    Few intervals of hours prune directories when the plan is made, the broadcast when it runs.
     """
-    hour, nulls = F.col("p_hour"), F.max(F.col("p_hour").isNull())
-    low, high, has_null, rows = hours.agg(F.min(hour), F.max(hour), nulls, F.count(F.lit(1))).first()
-    within = F.lit(False) if low is None else (hour >= low) & (hour <= high)
-    wanted = hours.filter(within).distinct()
+    has_null, rows = hours.agg(F.max(F.col("p_hour").isNull()), F.count(F.lit(1))).first()
+    bounded = within(islands(hours))
+    wanted = hours.filter(F.col("p_hour").isNotNull()).distinct()
     small = F.broadcast(wanted) if rows <= BROADCAST_ROWS else wanted
-    found = table.filter(within).join(small, "p_hour", "left_semi").select(*table.columns)
+    found = table.filter(bounded).join(small, "p_hour", "left_semi").select(*table.columns)
     if has_null:
-        found = found.unionByName(table.filter(hour.isNull()))
+        found = found.unionByName(table.filter(F.col("p_hour").isNull()))
     return found

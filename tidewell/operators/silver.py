@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidewell.functions.events import error_reasons, event_hash
+from tidewell.functions.events import HASH_NULL, error_reasons, event_hash
 
 PAYLOAD = (
     "user_id string, event_type string, product_id string, category string, "
@@ -43,18 +43,52 @@ def with_event_hash(events: DataFrame) -> DataFrame:
 
 
 def dedup_events(events: DataFrame, copies: str | None = None) -> DataFrame:
-    """One row per content hash, the earliest by topic time; ``copies`` names a count of the copies.
+    """One row per content hash, the earliest by topic time (a NULL time is the latest); ``copies`` names a count of the copies.
 
-    A minimum per hash combines on the map side, so a record repeated any number
-    of times sends one row per input task. Comparing the whole row after the
-    time makes the survivor unique.
+    Rows are grouped by their content with buffers of fixed width, so both sides of the shuffle aggregate by hash and a
+    record repeated any number of times sends one row per input task. Two contents can share a hash only if a text holds
+    a bar, as the separator is two: only those rows are grouped once more. Where their times tie, the smallest row stays.
+    """
+    found = distinct_contents(events)
+    settled = found.filter(~F.col("_barred")).drop("_barred").unionByName(one_per_hash(found.filter("_barred")).drop("_barred"))
+    counted = settled.withColumnRenamed("_copies", copies) if copies else settled.drop("_copies")
+    return counted.select(*events.columns, *([copies] if copies else []))
+
+
+def distinct_contents(events: DataFrame) -> DataFrame:
+    """One row per content with its earliest topic time, its hash, ``_copies`` and ``_barred`` (a text of it holds a bar).
+
+    A NULL and the text that stands for it hash alike. They are grouped as one; a number made of the time and of which
+    texts are meant literally tells at its minimum which of them the earliest row had.
     """
     rest = [name for name in events.columns if name not in ("event_hash", "kafka_timestamp")]
-    first = F.min(F.struct("kafka_timestamp", *rest)).alias("first")
-    counts = [F.count(F.lit(1)).alias(copies)] if copies else []
-    kept = [F.col("event_hash") if name == "event_hash" else F.col(f"first.{name}") for name in events.columns]
-    found = events.groupBy("event_hash").agg(first, *counts)
-    return found.select(*kept, *([F.col(copies)] if copies else []))
+    texts = [name for name in rest if isinstance(events.schema[name].dataType, T.StringType)]
+    literal = [F.when(F.col(name) == HASH_NULL, 1 << place).otherwise(0) for place, name in enumerate(reversed(texts))]
+    bits, width = sum(literal, F.lit(0)), 1 << len(texts)
+    reach = F.lit((1 << 62) // width)
+    micros = F.least(F.greatest(F.coalesce(F.unix_micros("kafka_timestamp"), reach), -reach), reach)
+    barred = sum((F.coalesce(F.contains(name, F.lit("|")), F.lit(False)).cast("int") for name in texts), F.lit(0)) > 0
+    keys = [F.coalesce(name, F.lit(HASH_NULL)).alias(name) if name in texts else F.col(name) for name in rest]
+    grouped = events.groupBy(*keys).agg(
+        F.min("kafka_timestamp").alias("kafka_timestamp"),
+        F.count(F.lit(1)).alias("_copies"),
+        F.min(micros * width + bits).alias("_first"),
+        F.max(barred).alias("_barred"),
+    )
+    is_literal = {name: F.col("_first").bitwiseAND(1 << place) != 0 for place, name in enumerate(reversed(texts))}
+    values = {name: F.when((F.col(name) != HASH_NULL) | is_literal[name], F.col(name)) for name in texts}
+    return with_event_hash(grouped.withColumns(values)).drop("_first")
+
+
+def one_per_hash(contents: DataFrame) -> DataFrame:
+    """The earliest of the contents that share a hash, with the copies of all; for few rows, as the contents of a hash are listed."""
+    rest = [name for name in contents.columns if name not in ("event_hash", "kafka_timestamp", "_copies")]
+    row = F.struct(F.col("kafka_timestamp").isNull(), "kafka_timestamp", *rest)
+    found = contents.groupBy("event_hash").agg(
+        F.array_min(F.collect_list(row)).alias("first"), F.sum("_copies").alias("_copies")
+    )
+    kept = {name: F.col(f"first.{name}") for name in ("kafka_timestamp", *rest)}
+    return found.withColumns(kept).select(*contents.columns)
 
 
 def validate(events: DataFrame) -> DataFrame:

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 
 from tidewell.functions.events import hour_index
 from tidewell.operators.merge import rows_to_insert
-from tidewell.operators.ranges import in_hours
 from tidewell.schemas import CLEAN_EVENTS
-from tidewell.sources.tables import Lake
+from tidewell.sources.tables import Lake, read_hours
 
 
 def insert_clean(lake: Lake, rows: DataFrame, times: DataFrame) -> None:
@@ -19,5 +18,5 @@ def insert_clean(lake: Lake, rows: DataFrame, times: DataFrame) -> None:
     and of those only the hash column.
     """
     hours = times.select(hour_index("event_time").alias("p_hour"))
-    target = in_hours(lake.read(CLEAN_EVENTS), hours.distinct())
+    target = read_hours(lake, CLEAN_EVENTS, hours.distinct())
     lake.append(rows_to_insert(target, rows, ["event_hash"]), CLEAN_EVENTS)

@@ -34,6 +34,9 @@ class Table:
         return schema
 
 
+# Names the load that wrote a row, by where its snapshot range begins; readers never see it.
+LOAD = "load_id"
+
 EVENT = "user_id string, event_type string, product_id string, category string, price bigint, event_time timestamp"
 CLEAN = f"{EVENT}, kafka_timestamp timestamp, device string, event_hash string"
 SUMMARY = (
@@ -42,11 +45,17 @@ SUMMARY = (
     "revenue double, active_user_count bigint, updated_at timestamp"
 )
 
+USER_SUMS = (
+    "user_id string, category string, device string, total_view bigint, total_click bigint, total_add_to_cart bigint, "
+    "total_purchase bigint, total_revenue double, last_active_time timestamp, n bigint"
+)
+
 BRONZE = "bronze.kafka_events"
 CLEAN_EVENTS = "silver.bronze_clean"
 BAD_EVENTS = "silver.bad_events"
 USER_PROFILE = "gold.user_profile"
-USER_HOURS = "gold.user_hour_counts"
+USER_HOURS = "gold.user_hour_deltas"
+USER_TOTALS = "gold.user_totals"
 SNAPSHOTS = "meta.snapshots"
 QUEUE = "meta.pipeline_partitions"
 QUEUE_DONE = "meta.pipeline_partitions_done"
@@ -70,7 +79,7 @@ TABLES: dict[str, Table] = {
         f"{EVENT}, device string, kafka_timestamp timestamp, event_hash string, created_at timestamp, "
         "quarantine_at timestamp, is_replayed boolean, replayed_at timestamp, replay_batch_id string, "
         "error_reasons array<string>",
-        ("p_hour",),
+        (LOAD, "p_hour"),
         "created_at",
     ),
     SNAPSHOTS: Table(
@@ -81,18 +90,22 @@ TABLES: dict[str, Table] = {
     STATE: Table("pipeline_name string, last_snapshot_id bigint, updated_at timestamp"),
     QUALITY: Table(
         "pipeline_name string, snapshot_id bigint, total_count bigint, valid_count bigint, "
-        "bad_count bigint, duplicate_removed_count bigint, created_at timestamp"
+        "bad_count bigint, duplicate_removed_count bigint, created_at timestamp",
+        (LOAD,),
     ),
     DRIFT: Table(
         "pipeline_name string, observed_columns array<string>, missing_columns array<string>, "
-        "new_columns array<string>, checked_at timestamp"
+        "new_columns array<string>, checked_at timestamp",
+        (LOAD,),
     ),
     CHANGES: Table(
         "pipeline_name string, column_name string, change_type string, status string, "
-        "detected_at timestamp, approved_at timestamp, applied_at timestamp"
+        "detected_at timestamp, approved_at timestamp, applied_at timestamp",
+        (LOAD,),
     ),
     QUEUE: Table(
-        "pipeline_name string, start_time timestamp, end_time timestamp, processed boolean, updated_at timestamp"
+        "pipeline_name string, start_time timestamp, end_time timestamp, processed boolean, updated_at timestamp",
+        (LOAD,),
     ),
     QUEUE_DONE: Table(
         "pipeline_name string, start_time timestamp, end_time timestamp, run_start timestamp, done_at timestamp"
@@ -140,11 +153,8 @@ TABLES: dict[str, Table] = {
         "updated_at timestamp",
         ("snapshot_id",),
     ),
-    USER_HOURS: Table(
-        "user_id string, event_type string, category string, device string, n bigint, revenue double, "
-        "last_time timestamp",
-        ("p_hour",),
-    ),
+    USER_HOURS: Table(USER_SUMS, ("p_hour", "snapshot_id")),
+    USER_TOTALS: Table(USER_SUMS, ("snapshot_id",)),
 }
 
 # The four monitoring tables also exist keyed by (dt, hour) text, filled by the backfill job.

@@ -1,9 +1,10 @@
 """Stored tables as partitioned parquet directories ``<root>/<namespace>/<table>``.
 
-One job writes a table at a time, as the hourly schedule does. Every commit of a
+Jobs may run beside each other, but no two runs of one job. Every commit of a
 maintained table adds a row to ``meta.snapshots`` (a folder per table, so tables
 never share one); readers of incremental or replaced tables go by that log, so
-files of a failed write are never seen.
+files of a failed write are never seen. What a load adds to the other tables lies
+in a directory named by the load, which a repeated attempt replaces.
 """
 
 from __future__ import annotations
@@ -14,16 +15,18 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewell.functions.events import hour_index
+from tidewell.operators.ranges import in_hours
 from tidewell.operators.snapshots import latest_snapshot
-from tidewell.schemas import BAD_EVENTS, BRONZE, EXPIRED_TABLES, REPLAY_MARKS, SNAPSHOTS, TABLES, USER_PROFILE
+from tidewell.schemas import BAD_EVENTS, BRONZE, EXPIRED_TABLES, LOAD, REPLAY_MARKS, SNAPSHOTS, TABLES, USER_PROFILE
 from tidewell.session import settings
 
+LOOKED_UP = 64  # directories that are looked up one by one; for more, the names in the table's folder are listed
+NAMED_HOURS = 10_000  # hours that are read by the names of their directories
 SMALL_TASKS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}
-WRITERS = 4
+WRITERS = 8
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,24 +56,44 @@ class Lake:
 
     def read(self, name: str) -> DataFrame:
         """The table's rows under its declared schema; no rows before the first write."""
-        schema = TABLES[name].full_schema
-        try:
-            table = self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
         if name == USER_PROFILE:
-            table = table.filter(F.col("snapshot_id") == self.current_snapshot(name)).drop("snapshot_id")
-        if name == BAD_EVENTS:
-            table = with_replay_marks(table, self.read(REPLAY_MARKS))
-        return table
+            current = self.current_snapshot(name)
+            return self.read_parts(name, [] if current is None else [current]).drop("snapshot_id")
+        table = self._stored(name).drop(LOAD)
+        return with_replay_marks(table, self.read(REPLAY_MARKS)) if name == BAD_EVENTS else table
+
+    def _stored(self, name: str) -> DataFrame:
+        schema, (folder, _, table) = TABLES[name].full_schema, self.path(name).rpartition("/")
+        if not self._present(folder, {table}):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(name))
+
+    def read_parts(self, name: str, values: list[int | None]) -> DataFrame:
+        """The rows in the directories of some values of the first partition column; no other directory is listed."""
+        table, root = TABLES[name], self.path(name)
+        named = {f"{table.partitions[0]}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for value in values}
+        paths = [f"{root}/{directory}" for directory in sorted(self._present(root, named))]
+        if not paths:
+            return self.spark.createDataFrame([], table.full_schema)
+        return self.spark.read.schema(table.full_schema).option("basePath", root).parquet(*paths)
+
+    def _present(self, root: str, names: set[str]) -> set[str]:
+        """Which of the named directories a folder holds."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        store = path(root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if len(names) <= LOOKED_UP:
+            return {name for name in names if store.exists(path(f"{root}/{name}"))}
+        if not store.exists(path(root)):
+            return set()
+        return names & {status.getPath().getName() for status in store.listStatus(path(root))}
 
     def _laid_out(self, df: DataFrame, name: str) -> DataFrame:
         """Declared columns and types, plus the derived hour bucket."""
         table = TABLES[name]
         if "p_hour" in table.partitions and table.time_column:
             df = df.withColumn("p_hour", hour_index(table.time_column))
+        if LOAD in table.partitions and LOAD not in df.columns:
+            df = df.withColumn(LOAD, F.lit(None))
         return df.select(*[F.col(field.name).cast(field.dataType) for field in table.full_schema])
 
     def _write(self, df: DataFrame, name: str, mode: str, spread: bool = True) -> None:
@@ -95,6 +118,21 @@ class Lake:
         self._write(df, name, "append")
         self._log(name, "append")
 
+    def write_load(self, df: DataFrame, name: str, load_id: int) -> None:
+        """All that one load adds to a table, in place of what an earlier attempt of the load left there.
+
+        The rows lie in a directory of the load, which is overwritten whole. ``df`` must not read that directory.
+        """
+        inner = [column for column in TABLES[name].partitions if column != LOAD]
+        out = self._laid_out(df.withColumn(LOAD, F.lit(load_id)), name).drop(LOAD)
+        writer = (out.hint("rebalance", *inner) if inner else out).write.mode("overwrite").partitionBy(*inner)
+        with settings(self.spark, SMALL_TASKS):
+            writer.option("partitionOverwriteMode", "static").parquet(f"{self.path(name)}/{LOAD}={load_id}")
+
+    def outside_load(self, name: str, load_id: int) -> DataFrame:
+        """The table without what a load added."""
+        return self._stored(name).filter(~F.col(LOAD).eqNullSafe(F.lit(load_id))).drop(LOAD)
+
     def overwrite_partitions(self, df: DataFrame, name: str, spread: bool = True) -> None:
         """Replace exactly the partitions that occur in ``df``; the others stay.
 
@@ -126,6 +164,10 @@ class Lake:
         """Fill the partitions of an uncommitted snapshot as the tasks hold the rows, without a shuffle."""
         self._write(df, name, "overwrite", spread=False)
 
+    def add_version(self, df: DataFrame, name: str) -> None:
+        """Rows of an uncommitted version of a table that is divided otherwise first, in few files per division."""
+        self._write(df, name, "append")
+
     def replace(self, df: DataFrame, name: str) -> None:
         """Replace the whole table: write the next version beside the old one, then commit it."""
         version = self.next_snapshot(name)
@@ -177,6 +219,21 @@ def read_incremental(bronze: DataFrame, last: int | None, current: int) -> DataF
     return rows if last is None else rows.filter(F.col("snapshot_id") > last)
 
 
+def read_committed(lake: Lake, name: str, last: int | None, current: int) -> DataFrame:
+    """Rows of the snapshots in (last, current] that the log names, from their directories alone: older ones are not even listed."""
+    ids = read_incremental(lake.commits(name), last, current).select("snapshot_id").distinct().collect()
+    return lake.read_parts(name, [row.snapshot_id for row in ids])
+
+
+def read_hours(lake: Lake, name: str, hours: DataFrame) -> DataFrame:
+    """A table's rows in some hours (distinct ``p_hour``, NULL included), from the directories of those hours alone.
+
+    Beyond ``NAMED_HOURS`` hours the driver does not see their names; the table is then read under few bounds and joined.
+    """
+    named = [row.p_hour for row in hours.limit(NAMED_HOURS + 1).collect()]
+    return lake.read_parts(name, named) if len(named) <= NAMED_HOURS else in_hours(lake.read(name), hours)
+
+
 def with_replay_marks(bad: DataFrame, marks: DataFrame) -> DataFrame:
     """Quarantine rows with the flags of the last replay that read them; rows quarantined after its reading stay open."""
     newest = F.max(F.struct("replayed_at", "read_until", "replay_batch_id")).alias("mark")
