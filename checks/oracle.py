@@ -278,7 +278,9 @@ ORACLE: dict[str, str] = {
         chain("_1", "true", COUPON), keys_of("_1"), chain("_2", "true", CAMPAIGN), keys_of("_2"),
     ),
     "mark_replayed": sql(
-        "SELECT event_hash, true AS is_replayed, 'replay_20240131000000' AS replay_batch_id, true AS has_time FROM bad"
+        """SELECT event_hash, true AS is_replayed, 'replay_20240131000000' AS replay_batch_id, true AS has_time FROM bad_1
+  UNION ALL SELECT event_hash, false, NULL, false FROM bad_2""",
+        *TWO,
     ),
     "overwrite_partitions": sql(
         f"""SELECT * FROM ({window_count('event_type', 'valid_2')}) UNION ALL

@@ -293,8 +293,14 @@ def merge_insert_multikey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mark_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = loaded(spark, sf_dir, "replay")
-    run_replay(store, BATCH)
+    """Rows of a first load are replayed, those of a second one, which repeats some events, are not."""
+    store, rows = lake(spark, "replay"), fixture.two_snapshots(fixture.topic(spark, sf_dir))
+    store.append(fixture.repair_rules(spark), RULES)
+    for snapshot_id in (1, 2):
+        load_snapshot(store, rows.filter(F.col("snapshot_id") == snapshot_id).drop("snapshot_id"), snapshot_id)
+        run_silver(store)
+        if snapshot_id == 1:
+            run_replay(store, BATCH)
     return store.read(BAD_EVENTS).select(
         "event_hash", "is_replayed", "replay_batch_id", F.col("replayed_at").isNotNull().alias("has_time")
     )

@@ -12,7 +12,7 @@ from conftest import bronze_of, ingest, record, text_of
 from tidewell.operators import gold, profile, ranges, silver
 from tidewell.plans import gold as gold_job
 from tidewell.plans.gold import queue_state, run_gold
-from tidewell.plans.replay import run_replay
+from tidewell.plans.replay import open_quarantine, run_replay
 from tidewell.plans.silver import GOLD, run_silver
 from tidewell.schemas import BAD_EVENTS, BRONZE, CHANGES, CLEAN_EVENTS, DRIFT, QUALITY, QUEUE, RULES, STATE, TABLES, USER_HOURS, USER_PROFILE, USER_TOTALS
 from tidewell.session import settings
@@ -211,6 +211,29 @@ def test_incremental_reads_list_only_the_snapshots_of_the_log(lake):
     assert text_of(lake.read(CLEAN_EVENTS), "user_id") == [("u_0",), ("u_1",), ("u_2",)]
 
 
+# --- replay --------------------------------------------------------------------------------------
+
+
+def test_open_rows_are_found_without_the_marks_of_closed_hours(lake):
+    def quarantined(day, user, at=0):
+        rows = silver.silver_batch(bronze_of(lake.spark, [record(user_id=user, price=-1)])).drop("copies")
+        stamp = F.lit(f"2024-02-{day:02d} 00:00:0{at}").cast("timestamp")
+        lake.append(silver.quarantine(rows, stamp), BAD_EVENTS)
+
+    for day, user in ((1, "a"), (2, "b")):
+        quarantined(day, user)
+    assert run_replay(lake, "first") and not run_replay(lake, "none")
+    quarantined(2, "b", at=5)  # the same event again in an hour that was closed
+    quarantined(3, "c")
+    found = open_quarantine(lake)
+    assert text_of(found, "user_id", "quarantine_at") == [("b", "2024-02-02 00:00:05"), ("c", "2024-02-03 00:00:00")]
+    marks = [path for path in found.inputFiles() if "replay_marks" in path]
+    assert marks and all("p_hour=474120" in path for path in marks)  # the second of February; the first is closed
+    assert run_replay(lake, "second") and open_quarantine(lake).isEmpty()
+    expected = [("a", "first"), ("b", "second"), ("b", "second"), ("c", "second")]  # a mark counts for all copies of a hash
+    assert text_of(lake.read(BAD_EVENTS), "user_id", "replay_batch_id") == expected
+
+
 # --- deduplication -------------------------------------------------------------------------------
 
 

@@ -111,7 +111,9 @@ TABLES: dict[str, Table] = {
         "pipeline_name string, start_time timestamp, end_time timestamp, run_start timestamp, done_at timestamp"
     ),
     REPLAY_MARKS: Table(
-        "event_hash string, read_until timestamp, replayed_at timestamp, replay_batch_id string"
+        "event_hash string, quarantine_at timestamp, read_until timestamp, replayed_at timestamp, replay_batch_id string",
+        ("p_hour",),
+        "quarantine_at",
     ),
     RULES: Table("error_reason string, action_value string, enabled boolean, auto_replay boolean"),
     REPLAYS: Table(

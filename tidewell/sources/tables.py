@@ -59,9 +59,13 @@ class Lake:
         if name == USER_PROFILE:
             current = self.current_snapshot(name)
             return self.read_parts(name, [] if current is None else [current]).drop("snapshot_id")
-        table = self._stored(name).drop(LOAD)
+        table = self.read_plain(name)
         return with_replay_marks(table, self.read(REPLAY_MARKS)) if name == BAD_EVENTS else table
 
+    def read_plain(self, name: str) -> DataFrame:
+        """The rows as they were written, without what is recorded of them elsewhere."""
+        return self._stored(name).drop(LOAD)
+
     def _stored(self, name: str) -> DataFrame:
         schema, (folder, _, table) = TABLES[name].full_schema, self.path(name).rpartition("/")
         if not self._present(folder, {table}):
