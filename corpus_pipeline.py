@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewell.llm import decontamination, packing, quality_classifier, shingle_dedup, substring_dedup
+from tidewell.llm import decontamination, packing, quality_classifier, simhash_dedup, substring_dedup
 from tidewell.llm.common import staged, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by similarity 0.8 of five-word shingles stays."""
-    return shingle_dedup.keep_one(docs.select(*COLUMNS))
+    """One document of each group stays whose fingerprints of three-word shingles are linked by at most two differing bits."""
+    return simhash_dedup.keep_one(docs.select(*COLUMNS))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,6 @@ from tidewell.llm import (
     packing,
     quality_classifier,
     quality_rules,
-    shingle_dedup,
     simhash_dedup,
     substring_dedup,
     token_counts,
@@ -115,49 +114,47 @@ def test_simhash_groups(docs, empty):
     assert sorted(ids) == sorted({group for _, _, group in expected if group is not None})
 
 
-def shingle_sets(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[at : at + 5]) for at in range(max(1, len(words) - 4))} if words else set()
+def simhash_kept(rows):
+    """The rows that stay: of each group linked by two bits the one of smallest id (ties: text hash), and all without an id."""
+    import itertools
 
-
-def similar_kept(texts):
-    """(doc_id, text) rows that stay: the smallest id of each group linked by five-word Jaccard of 0.8."""
-    rows = [(i, t, shingle_sets(t)) for i, t in texts]
-    root = list(range(len(rows)))
-    for (x, (i, _, a)), (y, (j, _, b)) in combinations(enumerate(rows), 2):
-        if i is not None and j is not None and (a == b or len(a & b) >= 0.8 * len(a | b)):
-            old, new = max(root[x], root[y]), min(root[x], root[y])
-            root = [new if at == old else at for at in root]
-    kept = {}
-    for place, (i, t, _) in enumerate(rows):
-        if i is not None and (root[place] not in kept or i < kept[root[place]][0]):
-            kept[root[place]] = (i, t)
-    return [*kept.values(), *[(i, t) for i, t, _ in rows if i is None]]
+    prints = [simhash_dedup.simhash(row[1]) & (2**64 - 1) for row in rows]
+    root = {fp: fp for fp in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in itertools.combinations(root, 2):
+            if (a ^ b).bit_count() <= 2 and root[a] != root[b]:
+                root[a] = root[b] = min(root[a], root[b])
+                changed = True
+    groups = defaultdict(list)
+    for row, fp in zip(rows, prints):
+        if row[0] is not None:
+            groups[root[fp]].append(row)
+    ids = {group: min(row[0] for row in members) for group, members in groups.items()}
+    return [{row for row in members if row[0] == ids[group]} for group, members in groups.items()]
 
 
-def test_near_dedup_links_edited_copies(spark, docs, empty, monkeypatch):
-    import corpus_pipeline
-
+def test_near_dedup_keeps_one_of_each_group(spark, docs, empty):
     draw = np.random.default_rng(3)
     texts = []
-    for group in range(40):
-        words = [f"v{n}" for n in draw.integers(0, 500, draw.integers(40, 200))]
-        for _ in range(draw.integers(1, 9)):  # each an edit of the one before, so groups are chains too
-            texts.append((int(draw.permutation(10_000)[0]) + 20_000 * group + len(texts), " ".join(words)))
-            words = list(words)
-            for at in draw.integers(0, len(words), max(1, len(words) // 60)):
-                words[at] = f"e{draw.integers(0, 10**6)}"
-    texts += [(7, "one id with this text of some words"), (7, "one id with a quite different text here")]
-    rows = spark.createDataFrame(texts, "doc_id bigint, text string")
-    wide = rows.selectExpr("doc_id", "text", "'en' lang", "'s' source", "length(text) n_chars")
-    expected = sorted(similar_kept(texts), key=repr)
-    assert len(expected) < len(texts) - 40
-    assert rows_of(corpus_pipeline.near_dedup(spark, wide, "").select("doc_id", "text")) == expected
-    monkeypatch.setattr(shingle_dedup, "SAMPLED", 1)  # many shingles are common
-    assert rows_of(shingle_dedup.keep_one(rows)) == expected
-    kept = shingle_dedup.keep_one(docs)
-    assert kept.columns == docs.columns and rows_of(kept.select("doc_id", "text")) == sorted(similar_kept(dict.fromkeys(TEXTS)), key=repr)
-    assert shingle_dedup.keep_one(empty).count() == 0
+    for group in range(60):
+        words = [f"v{n}" for n in draw.integers(0, 500, draw.integers(40, 400))]
+        for copy in range(draw.integers(1, 9)):  # exact copies, and edits of the one before
+            texts.append((int(draw.integers(0, 20_000)) + 20_000 * group, " ".join(words)))
+            if copy % 2:
+                words = [*words]
+                words[draw.integers(0, len(words))] = f"e{draw.integers(0, 10**6)}"
+    texts += [(7, "one id with this text of some words"), (7, "one id with a quite different text here"), (8, ""), (9, None), (9, None)]
+    rows = spark.createDataFrame([(*row, "n", "r", 0) for row in texts], "doc_id bigint, text string, name string, row string, times int")
+    kept = simhash_dedup.keep_one(rows)
+    assert kept.columns == rows.columns
+    found, expected = Counter((row.doc_id, row.text) for row in kept.collect()), simhash_kept(texts)
+    assert sum(found.values()) == len(expected) and len(expected) < len(texts) - 60
+    for members in expected:
+        assert sum(found[row] for row in members) == 1
+    assert sum(row.doc_id is None for row in simhash_dedup.keep_one(docs).collect()) == sum(i is None for i, _ in TEXTS)
+    assert simhash_dedup.keep_one(empty).count() == 0
 
 
 def test_golay_keys_meet_within_two_bits():
@@ -326,17 +323,67 @@ def test_chat_format(spark):
     assert chat_format.formatted(rows.limit(0), BYTES).count() == 0
 
 
-@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
-def test_pipeline_and_rules_over_given_tables(spark, folder):
-    import duckdb
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    """Planted copies, shared passages and benchmark items: every stage against a brute-force version, on what it was given."""
+    import corpus_pipeline
+
+    draw = np.random.default_rng(5)
+    good = lambda n: " ".join(f"word{k}" for k in draw.integers(0, 5000, n)) + "."
+    passage, item = good(60), good(40)
+    texts = {n: good(60 + n % 50) for n in range(200)}
+    texts |= {200 + n: "!!! ### $$$ %%% " * (5 + n % 9) for n in range(60)}
+    texts |= {300 + n: texts[n] for n in range(20)}
+    texts |= {330: good(30) + " " + passage + " " + good(30), 331: passage + " " + good(50), 332: good(50) + " " + item + " " + good(20)}
+    rows = [(n, text, "en", "s", len(text)) for n, text in texts.items()]
+    folder, parts = str(tmp_path), {
+        "documents": spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"),
+        "labels": spark.createDataFrame([(n, int(n < 200), 0) for n in range(0, 260)], "doc_id bigint, quality int, toxic int"),
+        "benchmark": spark.createDataFrame([(1, item)], "item_id bigint, text string"),
+    }
+    for name, df in parts.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    documents = docs = spark.read.parquet(f"{folder}/documents.parquet")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.staged(stage(spark, docs, folder))
+        seen[name] = ({row.doc_id: row.text for row in before.collect()}, docs)
+        if name != "packing":
+            assert docs.columns == documents.columns
+    given, after = seen["quality classifier"]
+    scores = quality_classifier.quality_scores(documents.select("doc_id", "text"), parts["labels"].select("doc_id", "quality"))
+    assert {row.doc_id for row in after.collect()} == {row.doc_id for row in scores.collect() if row.predicted}
+    assert not {row.doc_id for row in after.collect()} & set(range(200, 260))
+    given, after = seen["near-dedup"]
+    assert {row.doc_id for row in after.collect()} == {min(row[0] for row in rows) for rows in simhash_kept(list(given.items()))}
+    given, after = seen["substring dedup"]
+    windows, cut = {}, {}
+    for n in sorted(given):
+        words, covered = given[n].split(), set()
+        for at in range(len(words) - 12):
+            key = tuple(words[at : at + 13])
+            if windows.setdefault(key, n) < n:
+                covered |= set(range(at, at + 13))
+        cut[n] = " ".join(word for k, word in enumerate(words) if k not in covered)
+    assert {row.doc_id: row.text for row in after.collect()} == cut and all(row.n_chars == len(row.text) for row in after.collect())
+    assert passage not in cut[331] and passage in cut[330]
+    given, after = seen["benchmark decontamination"]
+    assert {row.doc_id: row.text for row in after.collect()} == {n: text for n, text in given.items() if item not in text}
+    from tokenizers import Tokenizer
+
+    model, pieces = Tokenizer.from_file(WORD_IDS), defaultdict(list)
+    given, after = seen["packing"]
+    for row in after.collect():
+        pieces[row.doc_id].append(row)
+    assert set(pieces) == set(given)
+    for n, found in pieces.items():
+        ids, at = model.encode(given[n], add_special_tokens=False).ids + [2], 0
+        for row in sorted(found, key=lambda row: row.start):
+            assert row.start == at and row.ids_crc32 == zlib.crc32(np.array(ids[at : at + row.length], "<u4").tobytes())
+            at += row.length
+        assert at == len(ids)
+
 
+def test_pipeline_over_given_tables(spark):
     import corpus_pipeline
-    from tidewell.llm.queries import ORACLE, QUERIES
-
-    assert corpus_pipeline.run(spark, folder).count() > 0
-    con = duckdb.connect()
-    for name in ("documents", "labels"):
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
-    ours = QUERIES["op4_quality_rules"](spark, folder)
-    theirs = con.execute(f"SELECT {', '.join(ours.columns)} FROM ({ORACLE['op4_quality_rules']})").fetchall()
-    assert rows_of(ours) == sorted(theirs, key=repr)
+
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0

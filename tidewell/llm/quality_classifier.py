@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.common import fold, release, staged
+from tidewell.llm.common import fold, release, staged, unstage
 
 FITTED = 400_000  # labelled rows that a fit uses, about
 FEATURES = 256
@@ -135,7 +135,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 def fit(rows: DataFrame, labels: DataFrame, target: str = "quality") -> Model:
     """A model from rows (doc_id, statistics) and labels (doc_id, target), outside the held-out fold."""
     labels = labels.where(F.col(target).isNotNull() & (fold(F.col("doc_id")) != 0))
-    known = staged(
+    whole = known = staged(
         rows.join(labels.select("doc_id", F.col(target).cast("double").alias("y")), "doc_id").select(
             "doc_id", "statistics", "y"
         )
@@ -149,6 +149,7 @@ def fit(rows: DataFrame, labels: DataFrame, target: str = "quality") -> Model:
         *[F.stddev_pop(F.col("statistics")[i]).alias(f"s{i}") for i in range(STATISTICS)],
     ).first()
     if moments["y"] is None or moments["y"] in (0.0, 1.0):
+        unstage(whole)
         none, base = np.zeros(STATISTICS), 0.5 if moments["y"] is None else moments["y"]
         return Model(none, none + 1, np.zeros(FEATURES + 1), none[:0], none[:0], base)
     mean = np.array([moments[f"m{i}"] for i in range(STATISTICS)])
@@ -182,6 +183,7 @@ def fit(rows: DataFrame, labels: DataFrame, target: str = "quality") -> Model:
         .orderBy("cell")
         .toPandas()
     )
+    unstage(whole)
     number, ones = cells["n"].to_numpy(float), cells["ones"].to_numpy(float)
     blank.raw = (cells["cell"].to_numpy(float) + 0.5) / GRID
     blank.share = pooled(ones / number, number)
@@ -214,6 +216,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
     rows = staged(with_statistics(docs.select("doc_id", "text")).select("doc_id", "statistics"))
     shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels))  # fixed size
+    unstage(rows)
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:  # statistics and score in one worker per task

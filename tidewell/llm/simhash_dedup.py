@@ -24,11 +24,12 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.llm.common import components, release, staged
+from tidewell.llm.common import components, release, staged, unstage
 
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
+BROADCAST = 500_000  # names of two numbers that may be broadcast
 CHUNK = 1 << 16  # shingles whose bits are unpacked at once
 
 # The Golay code's generator polynomial x^11+x^10+x^6+x^5+x^4+x^2+1, and the segments (shift, bits).
@@ -103,7 +104,7 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every document."""
+    """(doc_id, text_hash, fp) of every document."""
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -111,7 +112,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for texts in batches:
             yield pd.Series([simhash(text, shingle) for text in texts], dtype="int64")
 
-    return docs.select("doc_id", of("text").alias("fp"))
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("fp"))
 
 
 def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -136,27 +137,43 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
-def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document of (doc_id, text)."""
-    prints = staged(fingerprints(docs, shingle))
+def grouped(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of :func:`fingerprints` with the root fingerprint and the smallest id of their group."""
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     reached = components(links(least.select("fp"), radius))
     rooted = least.join(reached, least.fp == reached.node, "left").select(
         "fp", "least_id", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    group = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(group, "fp").select(
+    group = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(group, "fp")
+
+
+def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document of (doc_id, text)."""
+    return grouped(staged(fingerprints(docs, shingle)), radius).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The document with the smallest id of each near-duplicate group, with all its columns.
 
-    Of rows that repeat an id any one stays. Rows with a null id all stay, as nothing can name them.
+    Where rows of a group share that id the one with the smallest text hash stays, and of rows that share both the
+    smallest row. Rows with a null id all stay, as nothing can name them.
     """
-    groups = near_duplicate_groups(docs.select("doc_id", "text"))
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    prints = staged(fingerprints(docs, shingle))
+    groups = staged(grouped(prints, radius).select("doc_id", "text_hash", "root").where("doc_id IS NOT NULL"))
+    me = F.struct("doc_id", "text_hash")
+    firsts = groups.groupBy("root").agg(F.min(me).alias("first"))
+    counted = groups.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("times")).join(firsts, "root")
+    # what does not stay as it is: other members, and first ones that occur more than once
+    rest = staged(counted.where((me != F.col("first")) | (F.col("times") > 1)).select(
+        me.alias("name"), (me == F.col("first")).alias("repeated")
+    ))
+    unstage(prints, groups)
+    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("name"), F.struct(*docs.columns).alias("row"))
+    others = F.broadcast(rest) if rest.count() <= BROADCAST else rest
+    kept = named.join(others, "name", "left_anti").select("row")
+    again = named.join(others.where("repeated"), "name", "left_semi").groupBy("name").agg(F.min("row").alias("row"))
+    return kept.unionByName(again.select("row")).select("row.*")
