@@ -35,7 +35,7 @@ from tidewell.llm.common import kept
 TIERS = (512, 1024, 2048, 4096)
 WAITING = 1 << 20  # ids that wait in a task before its rests are packed
 STEP = 1 << 16  # tokens of a step group
-REMEMBERED = 300_000  # words, and parts of words, whose ids a task remembers
+REMEMBERED = 250_000  # words, and parts of words, of a generation; a task remembers two generations of each
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
     "offset bigint, tier int, step_group bigint"
@@ -47,7 +47,26 @@ _PARTS = re.compile(
 )
 
 
-class WordIds(dict):
+class Memory(dict):
+    """What was used of late: when a generation is full it is kept as the old one, and what is asked for again moves on."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        value = self.old.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+
+
+class WordIds(Memory):
     """Little-endian 32-bit ids of a text, word by word.
 
     A word of Latin-1 characters is lower-cased and split here by the tokenizer's own rule, so that
@@ -56,18 +75,20 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = None  # parts are lower-cased Latin-1 already, which the normalizer leaves as it is
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.parts: dict[str, bytes] = {}
+        self.parts = Memory()
 
     def learn_parts(self, parts: list[str]) -> None:
         """Ids of parts: encoded as one line of words, divided where a word closes."""
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.plain.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
         if len(ends) != len(parts):
             raise ValueError("the tokenizer does not close each part once")
@@ -78,7 +99,7 @@ class WordIds(dict):
 
     def learn(self, words: set[str]) -> None:
         split = {word: _PARTS.findall(word.lower()) for word in words if max(word) <= "\xff" and "<|" not in word}
-        new = {part for parts in split.values() for part in parts if part not in self.parts}
+        new = {part for parts in split.values() for part in parts if self.parts[part] is None}
         if new:
             self.learn_parts(list(new))
         for word, parts in split.items():
@@ -89,13 +110,12 @@ class WordIds(dict):
 
     def encode(self, text: str) -> bytes:
         words = _WORDS.findall(text)
-        found = list(map(self.get, words))
+        found = list(map(self.__getitem__, words))
         if None in found:
             self.learn({word for word, ids in zip(words, found) if ids is None})
             found = [self[word] if ids is None else ids for word, ids in zip(words, found)]
-        for known in (self, self.parts):
-            if len(known) > REMEMBERED:
-                known.clear()
+        self.turn()
+        self.parts.turn()
         return b"".join(found)
 
 
