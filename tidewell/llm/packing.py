@@ -40,7 +40,6 @@ SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, "
     "offset bigint, tier int, step_group bigint"
 )
-_WORDS = re.compile(r"[^ \t-\r]+")
 # The tokenizer's split rule, written out for lower-case Latin-1 characters.
 _PARTS = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x85\xa00-9²³¹¼½¾a-zªµºß-öø-ÿ]+"
@@ -52,9 +51,9 @@ class Memory(dict):
 
     def __init__(self):
         super().__init__()
-        self.old: dict[str, bytes] = {}
+        self.old: dict[str | bytes, bytes] = {}
 
-    def __missing__(self, key: str) -> bytes | None:
+    def __missing__(self, key: str | bytes) -> bytes | None:
         value = self.old.get(key)
         if value is not None:
             self[key] = value
@@ -97,19 +96,25 @@ class WordIds(Memory):
             self.parts[part] = line[at:end]
             at = end
 
-    def learn(self, words: set[str]) -> None:
-        split = {word: _PARTS.findall(word.lower()) for word in words if max(word) <= "\xff" and "<|" not in word}
+    def learn(self, words: set[bytes]) -> None:
+        split, other = {}, []
+        for word in words:
+            text = word.decode()
+            if max(text) <= "\xff" and "<|" not in text:
+                split[word] = parts_of(text.lower())
+            else:
+                other.append(word)
         new = {part for parts in split.values() for part in parts if self.parts[part] is None}
         if new:
             self.learn_parts(list(new))
         for word, parts in split.items():
-            self[word] = b"".join([self.parts[part] for part in parts])
-        other = [word for word in words if word not in split]
-        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self[word] = self.parts[parts[0]] if len(parts) == 1 else b"".join([self.parts[part] for part in parts])
+        texts = [word.decode() for word in other]
+        for word, found in zip(other, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             self[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        words = _WORDS.findall(text)
+        words = text.encode().split()  # bytes: at ASCII blanks only
         found = list(map(self.__getitem__, words))
         if None in found:
             self.learn({word for word, ids in zip(words, found) if ids is None})
@@ -119,6 +124,15 @@ class WordIds(Memory):
         return b"".join(found)
 
 
+def parts_of(word: str) -> list[str]:
+    """The tokenizer's split of a lower-case Latin-1 word; most are letters, perhaps with one mark at the end."""
+    if word.isalpha():
+        return [word]
+    if word[-1] in ".,;:!?" and word[:-1].isalpha():
+        return [word[:-1], word[-1]]
+    return _PARTS.findall(word)
+
+
 def word_ids(path: str) -> WordIds:
     return kept(("packing", path), lambda: WordIds(path))
 
