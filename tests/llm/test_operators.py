@@ -10,6 +10,7 @@ from itertools import combinations
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.llm import (
     chat_format,
@@ -254,6 +255,37 @@ def test_quality_rules(spark, docs, empty):
     assert quality_rules.judged(docs, labels.limit(0)).where("kept = base_failed").count() == 0
 
 
+def test_no_document_is_judged_by_its_own_words(spark):
+    """A trusted document scores alike with and without its own label, so trusted and other good documents fare alike."""
+    draw = np.random.default_rng(1)
+    rows = [(n, " ".join(f"w{k}" for k in draw.zipf(1.4, 60) % 3000)) for n in range(300)] + [(300 + n, f"x{n} " * 3 + "# $ % " * 20) for n in range(30)]
+    docs = spark.createDataFrame([(*row, 1, "t") for row in rows], "doc_id bigint, text string, trusted int, grams string")
+    labels = [(n, 1) for n in range(200)]
+
+    def judged(labels):
+        return {row.doc_id: row for row in quality_rules.judged(docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()}
+
+    whole = judged(labels)
+    assert judged([label for label in labels if label[0] != 17])[17].log_ratio == whole[17].log_ratio
+    shares = [sum(whole[n].kept for n in ids) / len(ids) for ids in (range(200), range(200, 300))]
+    assert shares[0] >= 0.97 and abs(shares[0] - shares[1]) < 0.06
+    assert not any(whole[n].kept for n in range(300, 330))
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_rules_keep_the_same_share_at_every_size(size):
+    """By the query's SQL, which equals the query: good labels that pass the base rules, and unlabelled documents."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/{size}/{name}.parquet'")
+    shares = dict(con.execute(f"""
+        SELECT coalesce(quality, 2), avg(kept::INT) FROM ({quality_rules.ORACLE}) LEFT JOIN labels USING (doc_id)
+        WHERE NOT base_failed GROUP BY 1""").fetchall())
+    assert shares[1] >= 0.97 and 0.88 <= shares[2] <= 0.96 and shares[0] <= 0.1
+
+
 def test_language_id(spark, docs, empty):
     words = {"aa": "the of and that with ", "bb": "der und nicht über für ", "cc": "señor niño año qué más "}
     texts = [(n, words[lang] * (1 + n % 40), lang) for n, lang in zip(range(100, 400), list(words) * 100)]
@@ -307,9 +339,22 @@ def test_chat_format(spark):
     parts = ["<|end|>", "</s>", "[INST]", "\\", "\\l", "<", "é😀", " ", "...", "<|endoftext|>", "\n"]
     turns = [(1, n, ("user", "assistant")[n % 2], "".join(parts[n % 11 :] + parts[: n % 7])) for n in range(24)]
     turns += [(2, 0, None, None), (2, 0, None, None), (3, None, "assistant", "x"), (None, 1, "assistant", ""), (4, 1, "<|text|>", "y")]
-    rows = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    turns += [(5, n, "assistant" if n % 2 else "user", said) for n, said in enumerate(["hi", ".<", "x", "...", "é", "😀😀", "\n", " \n ", "", "", "ü", "<|end|>"])]
+    turns += [(6, 0, "assistant", "long é words " * 40_000), (7, 0, None, ".")]
+    rows = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").withColumns(
+        {"ids": F.lit(1), "loss_mask": F.lit("m"), "spans": F.lit(None).cast("int")}
+    )
+    said_by = defaultdict(str)
+    for conv_id, _, role, text in sorted(turns, key=lambda turn: (str(turn[0]), turn[1] is not None, turn[1] or 0)):
+        said_by[conv_id] += chat_format.escape(text or "") if role == "assistant" else ""
+    coder = chat_format.Codec(BYTES)
+    for row in chat_format.formatted(rows, BYTES).collect():  # what is under the mask, and nothing beside it
+        ids, mask = np.array(row.ids, np.int32), np.array(row.loss_mask)
+        assert coder.decode(ids) == row.text and coder.decode(ids[mask == 1]) == said_by[row.conv_id]
+        assert len(mask) == len(ids) and len(row.turn_spans) == sum(turn[0] == row.conv_id for turn in turns)
+    assert chat_format.read_back(chat_format.formatted(rows.limit(0), BYTES), BYTES).count() == 0
     found = {row.conv_id: row for row in chat_format.read_back(chat_format.formatted(chat_format.with_forged(rows), BYTES), BYTES).collect()}
-    assert set(found) == {1, 2, 3, 4, None, -7}
+    assert set(found) == {1, 2, 3, 4, 5, 6, 7, None, -7}
     groups = defaultdict(list)
     for conv_id, _, role, text in turns:
         groups[conv_id].append((role or "", text or ""))

@@ -1,26 +1,32 @@
 """Conversations as training texts with a loss mask over assistant turns.
 
-A conversation is rendered whole and encoded once with offsets. Turns and tokens are
-both sorted by place, so two binary searches per assistant turn find the tokens that carry loss.
+A conversation is rendered whole and encoded once; the lengths of the tokens, added up, are their offsets in bytes. Turns
+and tokens are both sorted by place, so two binary searches per assistant turn find the tokens that carry loss. The
+template's markers are tokens of their own in the tokenizer's copy in memory, so no token reaches over the border of a
+text, and the tokens under the mask decode to exactly the (escaped) texts of the assistant.
 
 Template: ``<|turn|>role<|text|>text<|end|>`` and a line end per turn. Inside roles and texts a backslash and the
 first character of every control string (of this template and of common others) are escaped by a backslash and a letter,
 so markers cannot be forged, and the escape is undone exactly.
 
 Turns are ordered by turn number, null first, equal numbers by role and text. Null roles and texts count as empty. Rows with a
-null conv_id form one conversation. Rows of a task stream through it sorted, so a task holds one conversation at a time.
+null conv_id form one conversation. Rows of a task stream through it sorted, so a task holds some conversations, or one long one, at a time.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+
+from tidewell.llm.common import kept
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 _CONTROL = re.compile(r"\\|<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\])")
@@ -28,7 +34,8 @@ _LETTER = {"\\": "\\\\", "<": "\\l", "[": "\\b"}
 _PLAIN = {"\\": "\\", "l": "<", "b": "["}
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _RENDERED = re.compile(r"<\|turn\|>(.*?)<\|text\|>(.*?)<\|end\|>\n", re.S)
-SCHEMA = "conv_id bigint, text string, ids array<int>, loss_mask array<tinyint>, turn_spans array<struct<start:bigint,stop:bigint>>, loss_spans array<struct<start:bigint,stop:bigint>>"
+SCHEMA = "conv_id bigint, text string, ids array<int>, loss_mask array<tinyint>, turn_spans array<struct<start:bigint,stop:bigint>>"
+BATCH = 1 << 18  # characters that are encoded together
 
 
 def escape(text: str) -> str:
@@ -50,60 +57,112 @@ def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]], li
     return "".join(parts), spans, [role == "assistant" for role, _ in turns]
 
 
-def masked(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Loss mask of tokens with sorted offsets, and the places those tokens cover within the spans."""
-    mask, covered = np.zeros(len(offsets), np.int8), []
-    starts, stops = offsets[:, 0], offsets[:, 1]
+def masked(ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """Loss mask of tokens that end at the sorted places ``ends``, each beginning where the last one ended."""
+    mask = np.zeros(len(ends), np.int8)
+    for start, stop in spans:
+        mask[np.searchsorted(ends, start, "right") : np.searchsorted(ends, stop, "right")] = 1
+    return mask
+
+
+def in_bytes(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans of code points as spans of UTF-8 bytes."""
+    if text.isascii():
+        return spans
+    out, at, place = [], 0, 0
     for start, stop in spans:
-        first, last = np.searchsorted(stops, start, "right"), np.searchsorted(starts, stop, "left")
-        if start < stop and first < last:
-            mask[first:last] = 1
-            covered.append((max(start, int(starts[first])), min(stop, int(stops[last - 1]))))
-    return mask, covered
+        first = place + len(text[at:start].encode())
+        at, place = stop, first + len(text[start:stop].encode())
+        out.append((first, place))
+    return out
+
+
+class Codec:
+    """The byte-level tokenizer with the markers as tokens, special strings read as text, and the bytes of every token."""
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import AddedToken, Tokenizer
 
-_loaded: dict[str, object] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        markers = (TURN, TEXT, END)
+        self.tokenizer.add_tokens([AddedToken(marker, normalized=False) for marker in markers])
+        # the rule of byte-level vocabularies: printable bytes stand for themselves, the others for 256 and on, in order
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [byte for byte in range(256) if byte not in printable]
+        byte_of = {chr(byte): byte for byte in printable} | {chr(256 + place): byte for place, byte in enumerate(others)}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.tokens = [b""] * (max(vocabulary.values()) + 1)
+        for token, number in vocabulary.items():
+            plain = token in markers or any(char not in byte_of for char in token)
+            self.tokens[number] = token.encode() if plain else bytes(byte_of[char] for char in token)
+        self.lengths = np.array([len(token) for token in self.tokens], np.int64)
 
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, np.int32) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-def tokenizer(path: str):
-    """The byte-level tokenizer, special strings read as text and offsets without gaps."""
-    if path not in _loaded:
-        from tokenizers import Tokenizer, processors
+    def decode(self, ids: np.ndarray) -> str:
+        return b"".join([self.tokens[number] for number in ids.tolist()]).decode()
 
-        found = Tokenizer.from_file(path)
-        found.encode_special_tokens = True
-        found.post_processor = processors.ByteLevel(trim_offsets=False)
-        _loaded[path] = found
-    return _loaded[path]
+
+def codec(path: str) -> Codec:
+    return kept(("chat", path), lambda: Codec(path))
+
+
+def _lists(arrays: list[np.ndarray], kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return offsets, np.concatenate([np.zeros(0, kind), *arrays]).astype(kind)
+
+
+def _spans(spans: list[list[tuple[int, int]]]) -> tuple[np.ndarray, np.ndarray]:
+    flat = [span for one in spans for span in one]
+    return np.cumsum([0, *map(len, spans)]).astype(np.int32), np.array(flat, np.int64).reshape(-1, 2)
 
 
 def formatted(turns: DataFrame, path: str) -> DataFrame:
-    """Per conversation of (conv_id, turn, role, text): its text, ids, loss mask, turn spans and loss spans."""
+    """Per conversation of (conv_id, turn, role, text): its text, ids, loss mask and turn spans (in code points)."""
 
     def conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        coder = codec(path)
         rows = (
             row
             for batch in batches
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist())
         )
+        held: list[tuple] = []
+        size = 0
+
+        def encoded() -> pa.RecordBatch:
+            texts, masks = [row[1] for row in held], []
+            ids = coder.encode(texts)
+            for (_, text, spans, spoken), found in zip(held, ids):
+                ends = np.cumsum(coder.lengths[found])
+                if (ends[-1] if len(ends) else 0) != len(text.encode()):
+                    raise ValueError("the tokens of a conversation do not add up to its text")
+                masks.append(masked(ends, [span for span, own in zip(in_bytes(text, spans), spoken) if own]))
+            id_offsets, id_values = _lists(ids, np.dtype(np.int32))
+            _, mask_values = _lists(masks, np.dtype(np.int8))
+            span_offsets, span_values = _spans([row[2] for row in held])
+            pairs = pa.StructArray.from_arrays([pa.array(span_values[:, 0]), pa.array(span_values[:, 1])], names=["start", "stop"])
+            columns = [
+                pa.array([row[0] for row in held], pa.int64()),
+                pa.array(texts, pa.string()),
+                pa.ListArray.from_arrays(id_offsets, id_values),
+                pa.ListArray.from_arrays(id_offsets, mask_values),
+                pa.ListArray.from_arrays(span_offsets, pairs),
+            ]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["conv_id", "text", "ids", "loss_mask", "turn_spans"])
+
         for conv_id, group in groupby(rows, key=lambda row: row[0]):
-            text, spans, spoken = render([(role or "", body or "") for _, role, body in group])
-            encoding = encoder.encode(text, add_special_tokens=False)
-            offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)
-            mask, covered = masked(offsets, [span for span, is_spoken in zip(spans, spoken) if is_spoken])
-            span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([conv_id], pa.int64()),
-                    pa.array([text], pa.string()),
-                    pa.array([encoding.ids], pa.list_(pa.int32())),
-                    pa.array([mask], pa.list_(pa.int8())),
-                    pa.array([[{"start": a, "stop": b} for a, b in spans]], span),
-                    pa.array([[{"start": a, "stop": b} for a, b in covered]], span),
-                ],
-                names=["conv_id", "text", "ids", "loss_mask", "turn_spans", "loss_spans"],
-            )
+            held.append((conv_id, *render([(role or "", body or "") for _, role, body in group])))
+            size += len(held[-1][1])
+            if size > BATCH:
+                yield encoded()
+                size = 0
+        if held:
+            yield encoded()
 
     ordered = (
         turns.select("conv_id", "turn", "role", "text")
@@ -115,32 +174,28 @@ def formatted(turns: DataFrame, path: str) -> DataFrame:
 
 
 def read_back(rows: DataFrame, path: str) -> DataFrame:
-    """The digests of formatted conversations, from their texts, ids and masks alone."""
+    """The digests of formatted conversations, decoded from their ids and loss masks alone."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path)
         for batch in batches:
             out: list[tuple] = []
-            for row in batch.to_pylist():
-                turns = [(unescape(role), unescape(text)) for role, text in _RENDERED.findall(row["text"])]
-                said = "".join(f"{role}\n{text}\n" for role, text in turns)
-                loss = "".join(unescape(row["text"][s["start"] : s["stop"]]) for s in row["loss_spans"])
-                out.append(
-                    (
-                        row["conv_id"],
-                        len(turns),
-                        hashlib.sha256(said.encode("utf-8", "surrogatepass")).hexdigest(),
-                        len(loss),
-                        hashlib.sha256(loss.encode("utf-8", "surrogatepass")).hexdigest(),
-                        len(row["text"]),
-                    )
-                )
+            conv_ids, ids, masks = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            for place, conv_id in enumerate(conv_ids):
+                found = ids[place].values.to_numpy(zero_copy_only=False)
+                under = found[masks[place].values.to_numpy(zero_copy_only=False) == 1]
+                text, loss = coder.decode(found), unescape(coder.decode(under))
+                turns = [(unescape(role), unescape(said)) for role, said in _RENDERED.findall(text)]
+                whole = "".join(f"{role}\n{said}\n" for role, said in turns)
+                hexes = (hashlib.sha256(part.encode()).hexdigest() for part in (whole, loss))
+                out.append((conv_id, len(turns), next(hexes), len(loss), next(hexes), len(text)))
             types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             columns = [[row[place] for row in out] for place in range(6)]
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return rows.mapInArrow(digests, schema)
+    return rows.select("conv_id", "ids", "loss_mask").mapInArrow(digests, schema)
 
 
 def with_forged(turns: DataFrame, conv_id: int = -7) -> DataFrame:
