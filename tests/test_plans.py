@@ -11,9 +11,11 @@ from __spark_entry__ import oracle_sql, queries
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
 from conftest import SF, bronze_of, ingest, record
-from tidewell.operators import gold, profile, ranges, silver
+from tidewell.operators import gold, merge, profile, ranges, silver
+from tidewell.plans.clean_insert import _FILTER, HASH_FILTER
 from tidewell.plans.silver import GOLD, run_silver
 from tidewell.schemas import BRONZE, CLEAN_EVENTS, QUEUE
+from tidewell.session import settings
 from tidewell.sources.tables import read_incremental, shared_dir
 
 
@@ -59,6 +61,19 @@ def test_merge_reads_hashes_of_the_touched_hours(stored):
     assert "ReadSchema: struct<event_hash:string>" in text and "dynamicpruning" in text
 
 
+def test_stored_hashes_meet_a_filter_at_the_scan(stored):
+    """Of hours whose stored hashes the batch does not have nothing gets past the filter to the shuffle."""
+    batch = stored.stage(silver.silver_batch(bronze_of(stored.spark, [record(event_time=f"2024-01-01T0{h}:00:00Z", user_id="new") for h in range(3)])), "b")
+    at_any_size = {f"{_FILTER}.applicationSideScanSizeThreshold": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with settings(stored.spark, {**HASH_FILTER, **at_any_size}):
+        known = merge.stored_keys(stored.read(CLEAN_EVENTS), batch, "event_hash")
+        assert known.collect() == []
+        text = plan(known)
+        assert "might_contain" in text and "bloom_filter_agg" in text
+        again = merge.stored_keys(stored.read(CLEAN_EVENTS), stored.read(CLEAN_EVENTS).limit(2), "event_hash")
+        assert again.count() == 2
+
+
 def test_profile_is_one_scan_without_joins(stored):
     text = plan(profile.user_profile(gold.event_measures(stored.read(CLEAN_EVENTS))))
     assert text.count("FileScan") == 1 and "Join" not in text and "Window" not in text

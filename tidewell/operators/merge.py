@@ -14,6 +14,16 @@ def rows_to_insert(target: DataFrame, source: DataFrame, keys: list[str]) -> Dat
     return source.join(target.select(*keys), keys, "left_anti").select(*source.columns)
 
 
+def stored_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The keys (texts) of the target that the source has too.
+
+    The condition on the source's keys holds for all; it marks them as a selection, from which the optimizer may build a
+    filter for the target's scan.
+    """
+    wanted = source.select(key).filter(F.length(key) >= 0)
+    return target.select(key).join(wanted, key, "left_semi")
+
+
 def merge_insert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The target after inserting the absent rows."""
     return target.unionByName(rows_to_insert(target, source, keys))

@@ -5,22 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewell.functions.events import HASH_NULL, error_reasons, event_hash
+from tidewell.schemas import BAD_EVENTS, CLEAN_EVENTS, TABLES
 
 PAYLOAD = (
     "user_id string, event_type string, product_id string, category string, "
     "price bigint, event_time string, device string"
 )
-SILVER_COLUMNS = (
-    "user_id",
-    "event_type",
-    "product_id",
-    "category",
-    "price",
-    "event_time",
-    "kafka_timestamp",
-    "device",
-    "event_hash",
-)
+SILVER_COLUMNS = TABLES[CLEAN_EVENTS].names
 
 
 def silver_project(bronze: DataFrame) -> DataFrame:
@@ -102,23 +93,15 @@ def split_valid(validated: DataFrame) -> DataFrame:
 def quarantine(validated: DataFrame, now: Column | None = None) -> DataFrame:
     """Rows that break a rule, with the columns that track their repair."""
     now = F.current_timestamp() if now is None else now
-    return validated.filter(F.size("error_reasons") > 0).select(
-        "user_id",
-        "event_type",
-        "product_id",
-        "category",
-        "price",
-        "event_time",
-        "device",
-        "kafka_timestamp",
-        "event_hash",
-        now.alias("created_at"),
-        now.alias("quarantine_at"),
-        F.lit(False).alias("is_replayed"),
-        F.lit(None).cast("timestamp").alias("replayed_at"),
-        F.lit(None).cast("string").alias("replay_batch_id"),
-        "error_reasons",
-    )
+    nothing = F.lit(None)
+    tracked = {
+        "created_at": now,
+        "quarantine_at": now,
+        "is_replayed": F.lit(False),
+        "replayed_at": nothing.cast("timestamp"),
+        "replay_batch_id": nothing.cast("string"),
+    }
+    return validated.filter(F.size("error_reasons") > 0).withColumns(tracked).select(*TABLES[BAD_EVENTS].names)
 
 
 def silver_batch(bronze: DataFrame) -> DataFrame:

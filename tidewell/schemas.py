@@ -20,6 +20,11 @@ class Table:
     partitions: tuple[str, ...] = ()
     time_column: str | None = None
 
+    @property
+    def names(self) -> tuple[str, ...]:
+        """Names of the declared columns; needs no session."""
+        return tuple(column.split()[0] for column in self.columns.split(", "))
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.columns)
