@@ -244,6 +244,20 @@ def test_dedup_aggregates_by_hash(spark):
         assert "SortAggregate" not in text and "Window" not in text and "HashAggregate" in text
 
 
+@pytest.mark.parametrize("use", ["summary", "windows"])
+def test_branches_of_the_dedup_share_one_scan(spark, use):
+    """Whatever is asked of the batch, its rows with and without bars come from one shuffle of one scan."""
+    counter = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda offset: counter.add(1) or True, "boolean")
+    batch = silver.silver_batch(bronze_of(spark, [record(user_id=f"u_{n}", event_time=None if n % 3 else ...) for n in range(30)] + [record()]).filter(counted("kafka_offset")))
+    if use == "summary":
+        assert silver.quality_summary(batch, "p", 1).first().total_count == 31
+    else:
+        windows = gold.windowed(gold.event_measures(silver.split_valid(batch).drop("copies")))
+        assert gold.device_5min_summary(windows).count() == 1
+    assert counter.value == 31
+
+
 def test_contents_that_hash_alike_are_one_event(spark, lake):
     """Texts with the separator inside shift it; the earliest by topic time stays, with all copies counted."""
     pairs = [

@@ -40,35 +40,56 @@ def dedup_events(events: DataFrame, copies: str | None = None) -> DataFrame:
     record repeated any number of times sends one row per input task. Two contents can share a hash only if a text holds
     a bar, as the separator is two: only those rows are grouped once more. Where their times tie, the smallest row stays.
     """
-    found = distinct_contents(events)
-    settled = found.filter(~F.col("_barred")).drop("_barred").unionByName(one_per_hash(found.filter("_barred")).drop("_barred"))
+    grouped, barred = _by_content(events), F.col("_found.barred")  # both branches read the same shuffle
+    settled = _contents(events, grouped.filter(~barred)).unionByName(one_per_hash(_contents(events, grouped.filter(barred))))
     counted = settled.withColumnRenamed("_copies", copies) if copies else settled.drop("_copies")
     return counted.select(*events.columns, *([copies] if copies else []))
 
 
 def distinct_contents(events: DataFrame) -> DataFrame:
-    """One row per content with its earliest topic time, its hash, ``_copies`` and ``_barred`` (a text of it holds a bar).
+    """One row per content with its earliest topic time, its hash, ``_copies`` and ``_barred`` (a text of it holds a bar)."""
+    return _contents(events, _by_content(events))
+
+
+def _texts(events: DataFrame) -> list[str]:
+    return [field.name for field in events.schema if isinstance(field.dataType, T.StringType) and field.name != "event_hash"]
+
+
+def _by_content(events: DataFrame) -> DataFrame:
+    """Contents and what is ``_found`` of each.
 
     A NULL and the text that stands for it hash alike. They are grouped as one; a number made of the time and of which
     texts are meant literally tells at its minimum which of them the earliest row had.
     """
     rest = [name for name in events.columns if name not in ("event_hash", "kafka_timestamp")]
-    texts = [name for name in rest if isinstance(events.schema[name].dataType, T.StringType)]
+    texts = _texts(events)
     literal = [F.when(F.col(name) == HASH_NULL, 1 << place).otherwise(0) for place, name in enumerate(reversed(texts))]
     bits, width = sum(literal, F.lit(0)), 1 << len(texts)
     reach = F.lit((1 << 62) // width)
     micros = F.least(F.greatest(F.coalesce(F.unix_micros("kafka_timestamp"), reach), -reach), reach)
     barred = sum((F.coalesce(F.contains(name, F.lit("|")), F.lit(False)).cast("int") for name in texts), F.lit(0)) > 0
     keys = [F.coalesce(name, F.lit(HASH_NULL)).alias(name) if name in texts else F.col(name) for name in rest]
-    grouped = events.groupBy(*keys).agg(
+    found = F.struct(
         F.min("kafka_timestamp").alias("kafka_timestamp"),
-        F.count(F.lit(1)).alias("_copies"),
-        F.min(micros * width + bits).alias("_first"),
-        F.max(barred).alias("_barred"),
+        F.count(F.lit(1)).alias("copies"),
+        F.min(micros * width + bits).alias("first"),
+        F.max(barred).alias("barred"),
     )
-    is_literal = {name: F.col("_first").bitwiseAND(1 << place) != 0 for place, name in enumerate(reversed(texts))}
+    return events.groupBy(*keys).agg(found.alias("_found"))
+
+
+def _contents(events: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The rows of grouped contents. Every value depends on what was found, so no later condition moves below the grouping.
+
+    It would in one branch of :func:`dedup_events` only, and the branches would no longer share their shuffle.
+    """
+    texts = _texts(events)
+    is_literal = {name: F.col("_found.first").bitwiseAND(1 << place) != 0 for place, name in enumerate(reversed(texts))}
     values = {name: F.when((F.col(name) != HASH_NULL) | is_literal[name], F.col(name)) for name in texts}
-    return with_event_hash(grouped.withColumns(values)).drop("_first")
+    plain = [name for name in grouped.columns if name not in (*texts, "_found")]
+    values |= {name: F.when(F.col("_found.copies") > 0, F.col(name)) for name in plain}
+    values |= {name: F.col(f"_found.{name.lstrip('_')}") for name in ("kafka_timestamp", "_copies", "_barred")}
+    return with_event_hash(grouped.withColumns(values)).drop("_found")
 
 
 def one_per_hash(contents: DataFrame) -> DataFrame:
