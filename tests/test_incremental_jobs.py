@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -9,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import bronze_of, ingest, record, text_of
-from tidewell.operators import gold, profile, ranges, silver
+from tidewell.functions.events import PAYLOAD_FIELDS
+from tidewell.operators import drift, gold, profile, ranges, silver
 from tidewell.plans import gold as gold_job
 from tidewell.plans.gold import queue_state, run_gold
 from tidewell.plans.replay import open_quarantine, run_replay
@@ -211,6 +213,20 @@ def test_incremental_reads_list_only_the_snapshots_of_the_log(lake):
     assert text_of(lake.read(CLEAN_EVENTS), "user_id") == [("u_0",), ("u_1",), ("u_2",)]
 
 
+def test_key_sets_of_any_order(spark):
+    """Only unusual key sets are listed; the metrics read columns, not the texts once more per metric."""
+    usual, turned = record(), json.dumps(dict(reversed(json.loads(record()).items())))
+    texts = [usual, turned, record(coupon="x"), record(price=...), usual[:-1] + ', "price": 1}', "oops", "[1]", None]
+    rows = drift.with_key_sets(spark.createDataFrame([(text,) for text in texts], "raw_value string"))
+    metrics = rows.agg(*drift.key_metrics()).first().asDict()
+    every = sorted(PAYLOAD_FIELDS)
+    assert metrics["as_expected"] == 1
+    wanted = [every, sorted([*every, "coupon"]), [name for name in every if name != "price"]]
+    assert sorted(metrics["other_sets"]) == sorted(wanted)
+    assert drift.keys_of_metrics(metrics) == sorted([*every, "coupon"])
+    assert not any("json" in str(metric) for metric in drift.key_metrics())
+
+
 # --- replay --------------------------------------------------------------------------------------
 
 

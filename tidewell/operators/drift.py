@@ -18,16 +18,24 @@ def observed_keys(bronze: DataFrame) -> DataFrame:
     return keys.select(F.explode("keys").alias("column_name")).distinct()
 
 
-def key_metrics(text: str = "raw_value") -> list[Column]:
-    """Metrics for ``DataFrame.observe``: how many records have exactly the expected keys, and the other key sets, each once.
+def with_key_sets(bronze: DataFrame, text: str = "raw_value") -> DataFrame:
+    """Beside each record whether its keys are the expected ones in their usual order, and else its key set.
+
+    Both are columns, so the keys are read once and in generated code, and sorted only where they are unusual; an observed
+    metric would compute what it holds anew for each of its aggregates, and interpreted.
+    """
+    usual, keys = F.array(*[F.lit(name) for name in PAYLOAD_FIELDS]), F.col("_keys")
+    unusual = F.when(keys != usual, F.array_sort(F.array_distinct(keys)))
+    found = bronze.withColumn("_keys", F.json_object_keys(text))
+    return found.withColumns({"_as_expected": keys == usual, "_other_set": unusual}).drop("_keys")
+
+
+def key_metrics() -> list[Column]:
+    """Metrics of :func:`with_key_sets` for ``DataFrame.observe``: how many records have the usual keys, and the other key sets, each once.
 
     They ride along with the job that writes the batch, so no pass of their own reads the records.
     """
-    keys, expected = record_keys(text), F.array(*[F.lit(name) for name in sorted(PAYLOAD_FIELDS)])
-    return [
-        F.count_if(keys == expected).alias("as_expected"),
-        F.collect_set(F.when(keys != expected, keys)).alias("other_sets"),
-    ]
+    return [F.count_if("_as_expected").alias("as_expected"), F.collect_set("_other_set").alias("other_sets")]
 
 
 def keys_of_metrics(metrics: dict) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from tidewell.operators.drift import key_metrics, keys_of_metrics, schema_change_requests, schema_drift
+from tidewell.operators.drift import key_metrics, keys_of_metrics, schema_change_requests, schema_drift, with_key_sets
 from tidewell.operators.merge import rows_to_insert
 from tidewell.operators.ranges import affected_hours
 from tidewell.operators.silver import (
@@ -54,7 +54,7 @@ def _batch(lake: Lake, bronze: DataFrame, seen: Observation) -> DataFrame:
     All that follows reads the staged events. They differ by content; contents that share a hash (only texts with the
     separator's bar can) are rare, so they are looked for in what was staged and only then grouped again.
     """
-    records = bronze.select("kafka_timestamp", "raw_value").observe(seen, *key_metrics())
+    records = with_key_sets(bronze.select("kafka_timestamp", "raw_value")).observe(seen, *key_metrics())
     found = validate(distinct_contents(silver_project(records))).withColumn("is_valid", F.size("error_reasons") == 0)
     batch = lake.stage(found, "silver", "is_valid")
     barred = batch.filter("_barred")
