@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from conftest import bronze_of, ingest, record, text_of
 from tidewell.functions.events import PAYLOAD_FIELDS
-from tidewell.operators import drift, gold, profile, ranges, silver
+from tidewell.operators import drift, gold, merge, profile, ranges, silver
 from tidewell.plans import gold as gold_job
 from tidewell.plans.gold import queue_state, run_gold
 from tidewell.plans.replay import open_quarantine, run_replay
 from tidewell.plans.silver import GOLD, run_silver
-from tidewell.schemas import BAD_EVENTS, BRONZE, CHANGES, CLEAN_EVENTS, DRIFT, QUALITY, QUEUE, RULES, STATE, TABLES, USER_HOURS, USER_PROFILE, USER_TOTALS
+from tidewell.schemas import BAD_EVENTS, BRONZE, CHANGES, CLEAN_EVENTS, DRIFT, QUALITY, QUEUE, REPLAY_MARKS, RULES, STATE, TABLES, USER_HOURS, USER_PROFILE, USER_TOTALS
 from tidewell.session import settings
+from tidewell.sources import tables
 from tidewell.sources.tables import Lake
 
 RULE_ROWS = [("invalid_event_type", "view", True, True), ("price_is_negative", "abs", True, True)]
@@ -227,6 +228,31 @@ def test_key_sets_of_any_order(spark):
     assert not any("json" in str(metric) for metric in drift.key_metrics())
 
 
+def test_a_table_before_its_first_write_is_known_to_be_empty(lake):
+    """The first load neither shuffles nor joins its batch with it."""
+    rows = lake.stage(lake.spark.createDataFrame([("a",)], "event_hash string"), "rows")
+    for absent in (lake.read(CLEAN_EVENTS), lake.read_parts(CLEAN_EVENTS, [1, 2])):
+        found = merge.rows_to_insert(merge.stored_keys(absent, rows, "event_hash"), rows, ["event_hash"])
+        assert "Join" not in plan(found) and "Exchange" not in plan(found)
+        assert text_of(found) == [("a",)] and absent.schema == TABLES[CLEAN_EVENTS].full_schema
+
+
+def test_quarantine_and_marks_of_one_hour_are_written_by_many_tasks(lake, monkeypatch):
+    monkeypatch.setattr(tables, "SPLIT_TASKS", tables.SPLIT_TASKS | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB"})
+    at = F.lit("2024-01-01 10:00:00").cast("timestamp")
+
+    def rows(name):
+        columns = [F.lit(None).cast(field.dataType).alias(field.name) for field in TABLES[name].schema if field.name != "event_hash"]
+        made = lake.spark.range(0, 4000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("event_hash"), *columns)
+        return made.withColumn(TABLES[name].time_column, at)
+
+    lake.write_load(rows(BAD_EVENTS).withColumn("p_hour", F.lit(473362)), BAD_EVENTS, 1)
+    lake.append(rows(REPLAY_MARKS), REPLAY_MARKS)
+    for name in (BAD_EVENTS, REPLAY_MARKS):
+        assert len(lake.read_plain(name).inputFiles()) > 2
+        assert lake.read_plain(name).count() == 4000
+
+
 # --- replay --------------------------------------------------------------------------------------
 
 

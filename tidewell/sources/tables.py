@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidewell.functions.events import hour_index
 from tidewell.operators.ranges import in_hours
@@ -26,6 +27,9 @@ from tidewell.session import settings
 LOOKED_UP = 64  # directories that are looked up one by one; for more, the names in the table's folder are listed
 NAMED_HOURS = 10_000  # hours that are read by the names of their directories
 SMALL_TASKS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4KB"}
+# Rows of one run lie in a single hour of these tables, which is therefore cut into smaller tasks and files than Spark would.
+SPLIT_TASKS = SMALL_TASKS | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB"}
+OF_ONE_HOUR = (BAD_EVENTS, REPLAY_MARKS)
 WRITERS = 8
 
 
@@ -42,6 +46,11 @@ def new_root(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A table without rows, which the optimizer knows to be empty: joins and unions with it vanish from the plan."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 class Lake:
     """The tables below one root directory."""
 
@@ -69,7 +78,7 @@ class Lake:
     def _stored(self, name: str) -> DataFrame:
         schema, (folder, _, table) = TABLES[name].full_schema, self.path(name).rpartition("/")
         if not self._present(folder, {table}):
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def read_parts(self, name: str, values: list[int | None]) -> DataFrame:
@@ -78,7 +87,7 @@ class Lake:
         named = {f"{table.partitions[0]}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for value in values}
         paths = [f"{root}/{directory}" for directory in sorted(self._present(root, named))]
         if not paths:
-            return self.spark.createDataFrame([], table.full_schema)
+            return no_rows(self.spark, table.full_schema)
         return self.spark.read.schema(table.full_schema).option("basePath", root).parquet(*paths)
 
     def _present(self, root: str, names: set[str]) -> set[str]:
@@ -114,7 +123,7 @@ class Lake:
         writer = out.write.mode(mode).partitionBy(*partitions)
         if mode == "overwrite":
             writer = writer.option("partitionOverwriteMode", "dynamic")
-        with settings(self.spark, SMALL_TASKS):
+        with settings(self.spark, SPLIT_TASKS if name in OF_ONE_HOUR else SMALL_TASKS):
             writer.parquet(self.path(name))
 
     def append(self, df: DataFrame, name: str) -> None:
@@ -130,7 +139,7 @@ class Lake:
         inner = [column for column in TABLES[name].partitions if column != LOAD]
         out = self._laid_out(df.withColumn(LOAD, F.lit(load_id)), name).drop(LOAD)
         writer = (out.hint("rebalance", *inner) if inner else out).write.mode("overwrite").partitionBy(*inner)
-        with settings(self.spark, SMALL_TASKS):
+        with settings(self.spark, SPLIT_TASKS if name in OF_ONE_HOUR else SMALL_TASKS):
             writer.option("partitionOverwriteMode", "static").parquet(f"{self.path(name)}/{LOAD}={load_id}")
 
     def outside_load(self, name: str, load_id: int) -> DataFrame:
