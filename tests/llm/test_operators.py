@@ -432,3 +432,22 @@ def test_pipeline_over_given_tables(spark):
     import corpus_pipeline
 
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_the_wrapper_decides_what_is_template(spark):
+    """The same page parts count or not by what the other pages of the host hold."""
+    page = "<body><div><div><p>Call us</div><section><p>{}<p>b</section></div>"
+    rows = [(n, "http://a.org/", page.format(f"text {n}")) for n in range(6)]  # one place, one text: template
+    rows += [(n + 10, "http://b.org/", page.format(f"text {n}")) for n in range(4)]  # too few pages
+    rows += [(n + 20, "http://c.org/", page.format("same")) for n in range(6)]  # no block differs
+    rows += [(n + 30, "http://d.org/", page.format(f"text {n}").replace("Call us", "Call us<p>now" * (n < 2) or "Call us")) for n in range(6)]
+    rows += [(n + 40, "http://e.org/", page.format(f"text {n}").replace("Call us", str(n % 2))) for n in range(6)]  # it differs
+    rows += [(n + 50, "http://f.org/", f"<article><div><p>Call us</div><p>text {n}<p>b</article>") for n in range(6)]  # the article's
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    found = dict(rows_of(html_extraction.main_texts(pages, html_extraction.wrappers(pages)).select("page_id", "text")))
+    assert [found[n] for n in range(6)] == [f"text {n}\n\nb" for n in range(6)]
+    assert [found[n + 10] for n in range(4)] == [f"Call us\n\ntext {n}\n\nb" for n in range(4)]
+    assert {found[n + 20] for n in range(6)} == {"Call us\n\nsame\n\nb"}
+    assert found[30] == "Call us\n\nnow\n\ntext 0\n\nb" and found[35] == "Call us\n\ntext 5\n\nb"
+    assert [found[n + 40] for n in range(6)] == [f"{n % 2}\n\ntext {n}\n\nb" for n in range(6)]
+    assert [found[n + 50] for n in range(6)] == [f"Call us\n\ntext {n}\n\nb" for n in range(6)]

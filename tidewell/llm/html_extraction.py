@@ -3,11 +3,12 @@
 A page is a stream of tokens: containers that open and close, and blocks, each a slot of text. Adjacent repetitions
 become repeated groups. A host's streams are aligned one after another with the expression so far: what agrees stays, a block
 that is repeated on either side becomes a repetition, what only one side has becomes optional. The result describes all
-pages of the host. What is text of the article is decided by a rule over paths, not by the alignment: a slot counts unless it lies under a
-menu, header, footer, sidebar, notice, advert, form or comments. A page's text is that of its blocks in such slots: those under an
-article or main container if the page has any, else all. Text that a host repeats under no such name stays.
+pages of the host. The wrapper decides what is template: a block that every page of the host has exactly once, at one place and with
+the same text, while other blocks differ (``EVIDENCE`` pages at least), is no slot. Blocks under article or main are never template. Of
+the slots those count that do not lie under a menu, header, footer, sidebar, notice, advert, form or comments. A page's text is that of
+its blocks in such slots: those under an article or main container if the page has any, else all.
 
-Each task folds the pages it reads into one expression per host, a page of a known structure costing a look-up; the partial
+Each task folds the pages it reads into one expression per host, a page of a known structure costing a comparison of its texts' hashes; the partial
 expressions, not the pages, are shuffled, first to several keys per host and then to one. Expressions grow with the kinds of
 structure, not with pages. Slots are joined to pages by host, which is broadcast only where Spark finds it small.
 
@@ -19,9 +20,11 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -30,6 +33,8 @@ PARTS = 16  # keys per host in the first merge
 HOSTS = 20_000  # expressions a task holds
 KNOWN = 5_000  # structures of a host that a task remembers
 PERIOD = 8  # tokens of a repeated group, at most
+LAYOUT = "host string, wrapper string, pages bigint"
+EVIDENCE = 5  # pages of a host that show what is template, at least
 
 CONTAINERS = frozenset(
     "html head body article main section nav header footer aside div form ul ol dl table tbody thead tfoot figure "
@@ -118,7 +123,8 @@ def read(html: str | None) -> list[tuple]:
     return reader.stream + [(">", tag) for tag in reversed(reader.open)]
 
 
-# An expression is a list of [token or list of tokens, repeated, optional]; a token is '<name', '>name' or '#path'.
+# An expression is a list of [token or list of tokens, repeated, optional, text]; a token is '<name', '>name' or '#path'. The text
+# is a hash of what a block, or a repetition, says on all pages, None where they differ.
 
 
 def structure(stream: list[tuple]) -> list[list]:
@@ -127,9 +133,9 @@ def structure(stream: list[tuple]) -> list[list]:
     for token in stream:
         name = token[0] + token[1]
         if items and items[-1][0] == name and name[0] == "#":
-            items[-1][1] = True
+            items[-1][1:] = [True, False, hashed(items[-1][3], token[2])]
         else:
-            items.append([name, False, False])
+            items.append([name, False, False, hashed(token[2]) if name[0] == "#" else None])
     for period in range(2, PERIOD + 1):
         at, out = 0, []
         while at < len(items):
@@ -138,7 +144,7 @@ def structure(stream: list[tuple]) -> list[list]:
             while len(group) == period and [item[0] for item in items[end : end + period]] == following:
                 end += period
             if end > at + period and all(isinstance(token, str) for token in following) and balanced(following):
-                out.append([following, True, False])
+                out.append([following, True, False, hashed(*[item[3] or "" for item in items[at:end]])])
                 at = end
             else:
                 out.append(items[at])
@@ -147,6 +153,10 @@ def structure(stream: list[tuple]) -> list[list]:
     return items
 
 
+def hashed(*texts: str) -> str:
+    return f"{crc32('|'.join(texts).encode('utf-8', 'surrogatepass'))}.{sum(map(len, texts))}"
+
+
 def balanced(tokens: list[str]) -> bool:
     """Whether containers that open in the group close in it."""
     depth = 0
@@ -160,30 +170,47 @@ def balanced(tokens: list[str]) -> bool:
 def aligned(left: list[list], right: list[list]) -> list[list]:
     """One expression for both: agreement stays, repetition of either side holds for both, the rest is optional."""
     def keys(items: list[list]) -> list[str]:
-        return [token if isinstance(token, str) else json.dumps(token) for token, _, _ in items]
+        return [item[0] if isinstance(item[0], str) else json.dumps(item[0]) for item in items]
 
     out: list[list] = []
     for kind, a, b, c, d in SequenceMatcher(None, keys(left), keys(right), autojunk=False).get_opcodes():
         if kind == "equal":
-            out += [[x[0], x[1] or y[1], x[2] or y[2]] for x, y in zip(left[a:b], right[c:d])]
+            out += [[x[0], x[1] or y[1], x[2] or y[2], agreed(x[3], y[3])] for x, y in zip(left[a:b], right[c:d])]
         else:
-            out += [[token, repeated, True] for token, repeated, _ in left[a:b] + right[c:d]]
+            out += [[item[0], item[1], True, None] for item in left[a:b] + right[c:d]]
     return out
 
 
+def agreed(left: str | None, right: str | None) -> str | None:
+    return left if left == right else None
+
+
 def written(expression: list[list]) -> str:
     """The expression as text: ( )+ repeats and ( )? may be absent."""
     out = []
-    for token, repeated, optional in expression:
+    for token, repeated, optional, _ in expression:
         text = token if isinstance(token, str) else " ".join(token)
         mark = "+" * repeated + "?" * optional
         out.append(f"({text}){mark}" if mark else text)
     return " ".join(out)
 
 
-def slots(expression: list[list]) -> list[str]:
+def template(expression: list[list], pages: int) -> set[str]:
+    """Blocks that are the same on all pages of a host: neither repeated nor optional, at one place, of one text, and not under article or main.
+
+    Nothing is known to be template while no block differs or few pages were seen.
+    """
+    places = Counter(token for item in expression for token in ([item[0]] if isinstance(item[0], str) else item[0]))
+    blocks = [item for item in expression if not isinstance(item[0], str) or item[0][0] == "#"]
+    if pages < EVIDENCE or all(item[3] is not None for item in blocks):
+        return set()
+    fixed = {item[0] for item in blocks if item[3] is not None and not item[1] and not item[2]}
+    return {token for token in fixed if places[token] == 1 and MAIN.isdisjoint(token[1:].split("/"))}
+
+
+def slots(expression: list[list], pages: int) -> list[str]:
     """Paths of the slots that may hold main text of a host's pages."""
-    tokens = {token for item, _, _ in expression for token in ([item] if isinstance(item, str) else item)}
+    tokens = {token for item in expression for token in ([item[0]] if isinstance(item[0], str) else item[0])} - template(expression, pages)
     paths = [(token[1:], [part.split(".") for part in token[1:].split("/")]) for token in sorted(tokens) if token[0] == "#"]
     return [path for path, parts in paths if not any(part[0] in APART or len(part) > 1 for part in parts)]
 
@@ -200,45 +227,54 @@ def host(url):
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, slots) of every host of (url, html); ``wrapper`` is the expression in JSON."""
+    """(host, wrapper, pages, slots) of every host of (url, html); ``wrapper`` is the expression in JSON, ``pages`` how many it describes."""
 
     def folded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list] = {}
-        known: dict[str, set] = {}
+        known: dict[str, dict[str, list]] = {}  # texts by structure
+        counts: Counter = Counter()
 
         def out() -> pd.DataFrame:
-            return pd.DataFrame({"host": list(found), "wrapper": [json.dumps(item) for item in found.values()]}, dtype=object)
+            for name, structures in known.items():
+                for key, texts in structures.items():
+                    items = [[*item, text] for item, text in zip(json.loads(key), texts)]
+                    found[name] = aligned(found[name], items) if name in found else items
+            wrappers = [json.dumps(found[name]) for name in found]
+            return pd.DataFrame({"host": list(found), "wrapper": wrappers, "pages": [counts[name] for name in found]}, dtype=object)
 
         for batch in batches:
             for name, html in zip(batch["host"], batch["html"]):
                 items = structure(read(html))
-                key = json.dumps(items)
-                seen = known.setdefault(name, set())
+                counts[name] += 1
+                key, texts = json.dumps([item[:3] for item in items]), [item[3] for item in items]
+                seen = known.setdefault(name, {})
                 if key in seen:
-                    continue
-                if len(seen) < KNOWN:
-                    seen.add(key)
-                found[name] = aligned(found[name], items) if name in found else items
-            if len(found) > HOSTS:
+                    seen[key] = [agreed(former, text) for former, text in zip(seen[key], texts)]
+                elif len(seen) < KNOWN:
+                    seen[key] = texts
+                else:
+                    found[name] = aligned(found[name], items) if name in found else items
+            if len(known) > HOSTS:
                 yield out()
-                found, known = {}, {}
+                found, known, counts = {}, {}, Counter()
         yield out()
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         expression: list = []
         for place, item in enumerate(sorted(set(group["wrapper"]))):
             expression = aligned(expression, json.loads(item)) if place else json.loads(item)
-        return pd.DataFrame({"host": group["host"].iloc[:1].tolist(), "wrapper": [json.dumps(expression)]}, dtype=object)
+        of_host = {"host": group["host"].iloc[:1].tolist(), "wrapper": [json.dumps(expression)], "pages": [int(group["pages"].sum())]}
+        return pd.DataFrame(of_host, dtype=object)
 
     @F.pandas_udf("array<string>")
-    def judged(items: pd.Series) -> pd.Series:
-        return pd.Series([slots(json.loads(item)) for item in items], dtype=object)
+    def judged(items: pd.Series, pages: pd.Series) -> pd.Series:
+        return pd.Series([slots(json.loads(item), count) for item, count in zip(items, pages)], dtype=object)
 
-    partial = pages.select(host(F.col("url")).alias("host"), "html").mapInPandas(folded, "host string, wrapper string")
+    partial = pages.select(host(F.col("url")).alias("host"), "html").mapInPandas(folded, LAYOUT)
     salted = partial.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(PARTS)))
-    some = salted.groupBy("host", "part").applyInPandas(merged, "host string, wrapper string")
-    whole = some.groupBy("host").applyInPandas(merged, "host string, wrapper string")
-    return whole.withColumn("slots", judged("wrapper"))
+    some = salted.groupBy("host", "part").applyInPandas(merged, LAYOUT)
+    whole = some.groupBy("host").applyInPandas(merged, LAYOUT)
+    return whole.withColumn("slots", judged("wrapper", "pages"))
 
 
 def main_texts(pages: DataFrame, found: DataFrame) -> DataFrame:
