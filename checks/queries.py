@@ -31,7 +31,7 @@ from tidewell.schemas import (
     STATE,
     USER_PROFILE,
 )
-from tidewell.sources.tables import Lake, new_root, read_incremental
+from tidewell.sources.tables import Lake, new_root, read_incremental, side_by_side
 from tidewell.sources.topic import file_source
 from tidewell.streaming.ingest import start_bronze
 
@@ -99,9 +99,13 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queue_of(spark, clean(spark, sf_dir))
+
+
+def queue_of(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Every hour with valid events, queued at the time of its last one; stored, as the queue is a table."""
     hour = hour_index("event_time").alias("hour")
-    hours = clean(spark, sf_dir).groupBy(hour).agg(F.max("kafka_timestamp").alias("updated_at"))
+    hours = rows.groupBy(hour).agg(F.max("kafka_timestamp").alias("updated_at"))
     rows = hours.select(
         F.lit(GOLD).alias("pipeline_name"),
         hour_start("hour").alias("start_time"),
@@ -217,17 +221,22 @@ def largest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_partition_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Datasets by dt and hour, of which the queue asks for the first half of every day."""
-    store, rows = lake(spark, "backfill"), windows(spark, sf_dir)
+    """Datasets by dt and hour, of which the queue asks for the first half of every day; all from one read of the topic."""
+    store = lake(spark, "backfill")
+    valid = store.stage(clean(spark, sf_dir), "clean")
+    rows = gold.windowed(gold.event_measures(valid))
     source, tasks = f"{store.root}/datasets", spark.sparkContext.defaultParallelism
     by_hour = [
         F.date_format("window_start", "yyyy-MM-dd").alias("dt"),
         F.lpad(F.hour("window_start").cast("string"), 2, "0").alias("hour"),
     ]
-    for dataset in BACKFILL_DATASETS:
+
+    def lay_out(dataset: str) -> None:
         laid_out = gold.WINDOW_TABLES[dataset](rows).select("*", *by_hour).repartition(tasks, "dt", "hour")
         laid_out.write.partitionBy("dt", "hour").parquet(f"{source}/{dataset}")
-    wanted = queue(spark, sf_dir).filter(F.hour("start_time") < 12)
+
+    side_by_side(spark, lay_out, [(dataset,) for dataset in BACKFILL_DATASETS])
+    wanted = queue_of(spark, valid).filter(F.hour("start_time") < 12)
     store.append(wanted.withColumn("pipeline_name", F.lit(BACKFILL)), QUEUE)
     run_backfill(store, source)
     values = {

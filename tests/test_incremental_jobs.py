@@ -9,7 +9,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import bronze_of, ingest, record, text_of
+from checks import fixture
+from checks.queries import QUERIES
+from conftest import SF, bronze_of, ingest, record, text_of
 from tidewell.functions.events import PAYLOAD_FIELDS
 from tidewell.operators import drift, gold, merge, profile, ranges, silver
 from tidewell.plans import gold as gold_job
@@ -253,6 +255,13 @@ def test_quarantine_and_marks_of_one_hour_are_written_by_many_tasks(lake, monkey
         assert lake.read_plain(name).count() == 4000
 
 
+def test_the_backfill_query_reads_the_topic_once(spark, monkeypatch):
+    topic, calls = fixture.topic, []
+    monkeypatch.setattr(fixture, "topic", lambda *arguments: calls.append(1) or topic(*arguments))
+    assert QUERIES["gold_partition_backfill"](spark, SF).count() > 0
+    assert len(calls) == 1
+
+
 # --- replay --------------------------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -165,13 +166,8 @@ class Lake:
 
     def overwrite_many(self, tables: dict[str, DataFrame]) -> None:
         """Overwrite several tables side by side: while one commits on the driver, others use the executors."""
-        with settings(self.spark, SMALL_TASKS), ThreadPoolExecutor(WRITERS) as pool:
-            jobs = [
-                pool.submit(inheritable_thread_target(self.spark)(self.overwrite_partitions), df, name)
-                for name, df in tables.items()
-            ]
-            for job in jobs:
-                job.result()
+        with settings(self.spark, SMALL_TASKS):
+            side_by_side(self.spark, self.overwrite_partitions, [(df, name) for name, df in tables.items()])
 
     def write_snapshot(self, df: DataFrame, name: str) -> None:
         """Fill the partitions of an uncommitted snapshot as the tasks hold the rows, without a shuffle."""
@@ -223,6 +219,14 @@ class Lake:
             self.commit(name, self.next_snapshot(name), operation)
 
 
+def side_by_side(spark: SparkSession, job: Callable[..., None], calls: list[tuple]) -> None:
+    """Call a job with each of the arguments, in threads of the session; the first failure is raised."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job), *arguments) for arguments in calls]
+        for one in started:
+            one.result()
+
+
 def read_incremental(bronze: DataFrame, last: int | None, current: int) -> DataFrame:
     """Rows of the snapshots in (last, current]; the first run starts from the beginning.
 
