@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -171,6 +172,22 @@ def test_golay_keys_meet_within_two_bits():
         assert all(set(a) & set(f) for a, f in zip(asked.tolist(), filed.tolist()))
 
 
+def test_golay_tables_are_small_to_make():
+    tracemalloc.start()
+    upper, errors = simhash_dedup.golay_tables()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20  # from all 2^23 words it was 268 MB, in every Python worker
+
+    def remainder(word):
+        while word.bit_length() > 11:
+            word ^= simhash_dedup.GENERATOR << (word.bit_length() - 12)
+        return word
+
+    assert upper.tolist() == [remainder(head << 11) for head in range(1 << 12)]
+    assert all(remainder(error) == place and error.bit_count() <= 3 for place, error in enumerate(errors.tolist()))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 99), (100, 98), (200, 200)]
     found = {row.node: row.root for row in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -37,17 +37,17 @@ GENERATOR = 0b110001110101
 SEGMENTS = ((41, 23), (18, 23), (0, 18))
 
 
-def _remainders(bits: int) -> np.ndarray:
-    """Remainder by the generator of every word of ``bits`` bits."""
-    out = np.arange(1 << bits, dtype=np.int64)
-    for place in range(bits - 1, 10, -1):
+def _remainders(words: np.ndarray) -> np.ndarray:
+    """Remainder by the generator of each 23-bit word."""
+    out = words
+    for place in range(22, 10, -1):
         out = np.where(out >> place & 1, out ^ GENERATOR << (place - 11), out)
     return out
 
 
 def golay_tables() -> tuple[np.ndarray, np.ndarray]:
     """Remainders of the twelve upper bits of a word, and the error pattern of each of the 2,048 remainders."""
-    upper = _remainders(23)[:: 1 << 11].copy()
+    upper = _remainders(np.arange(0, 1 << 23, 1 << 11, dtype=np.int64))  # not of all words: every worker makes them
     errors = np.zeros(1 << 11, dtype=np.int64)
     single = [1 << i for i in range(23)]
     patterns = [0, *single]
